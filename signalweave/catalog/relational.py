@@ -22,6 +22,7 @@ from signalweave.operators.enrich import (
     symmetric_difference,
     union_all,
 )
+from signalweave.operators.once import computed_once
 from signalweave.operators.ranking import id_batches, keep_first, most_recent
 from signalweave.operators.tagging import explode_tags
 from signalweave.sources.writers import without_result
@@ -89,7 +90,7 @@ def flatten_metrics(spark: SparkSession, folder: str) -> DataFrame:
     text = F.concat(
         F.lit("{'reply_count': "), F.get_json_object("props", "$.k"), F.lit(", 'quote_count': "), quotes, F.lit("}")
     )
-    events = table(spark, folder, "events").select("event_id", parse_metrics(text).alias("public_metrics"))
+    events = computed_once(table(spark, folder, "events"), public_metrics=parse_metrics(text))
     return flatten(events.filter(engaged(50)), "public_metrics").select("event_id", "reply_count", "quote_count")
 
 

@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalweave.functions.temporal import to_month
+from signalweave.session import spread_rows
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table of long texts, spread over the cores if it is small."""
+    return spread_rows(table(spark, folder, name), key)
+
+
 def labelled_posts(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as labelled posts: nation = country, priority = category, status F = negative."""
     orders = table(spark, folder, "orders").filter(F.col("o_custkey").isNotNull())
@@ -41,7 +47,7 @@ LABELLED_POSTS_SQL = """posts AS (
 def document_posts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as posts, dated by id."""
     day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 730).cast("int"))
-    return table(spark, folder, "documents").select(
+    return text_table(spark, folder, "documents", "doc_id").select(
         "doc_id", "text", "lang", "source", day.alias("time"), to_month(day).alias("time_month")
     )
 

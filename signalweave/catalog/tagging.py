@@ -12,6 +12,7 @@ from signalweave.catalog.tables import (
     sql_pattern,
     sql_plain,
     table,
+    text_table,
 )
 from signalweave.catalog.words import CASED_PLACES, GROUPS, PLACES, THEMES
 from signalweave.functions.matching import count_all
@@ -42,7 +43,7 @@ EVENT_CATEGORIES = (
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return text_table(spark, folder, "documents", "doc_id").select("doc_id", "text")
 
 
 def _places(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,9 +14,10 @@ _VALUE = r"([:\[,]\s*){}\b"
 
 def as_json(c: Column | str) -> Column:
     column = as_column(c)
+    spelled = column
     for python, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        column = F.regexp_replace(column, _VALUE.format(python), f"$1{json}")
-    return column
+        spelled = F.regexp_replace(spelled, _VALUE.format(python), f"$1{json}")
+    return F.when(column.rlike("None|True|False"), spelled).otherwise(column)
 
 
 def parse_list(c: Column | str) -> Column:

@@ -23,6 +23,40 @@ def escape(literal: str) -> str:
     return re.sub(r"([^\w\s])", r"\\\1", literal)
 
 
+def _fold(letter: str) -> str:
+    """The form in which case-insensitive matching compares letters."""
+    if letter == "İ":
+        return "i"
+    upper = letter.upper() if len(letter.upper()) == 1 else letter
+    return upper.lower() if len(upper.lower()) == 1 else upper
+
+
+def alternation(words: Iterable[str], casing: bool = False) -> str:
+    """Alternation that prefers earlier words, with common prefixes written once.
+
+    Words are gathered by their first letter and the rest is treated alike.  Words that start
+    differently cannot match at the same place, so gathering keeps the preferences; where a word
+    ends inside others, those before it stay before it.  A dictionary of hundreds of words then
+    costs a few comparisons per place instead of hundreds.
+    """
+    branches: list[str] = []
+    gathered: dict[str, tuple[str, list[str]]] = {}
+
+    def close() -> None:
+        branches.extend(escape(letter) + alternation(rest, casing) for letter, rest in gathered.values())
+        gathered.clear()
+
+    for word in words:
+        if word:
+            key = word[0] if casing else _fold(word[0])
+            gathered.setdefault(key, (word[0], []))[1].append(word[1:])
+        elif "" not in branches:
+            close()
+            branches.append("")
+    close()
+    return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+
+
 def _usable(keywords: Iterable[str | None]) -> list[str]:
     return [k for k in keywords if k is not None and k.strip()]
 
@@ -39,18 +73,17 @@ def word_pattern(
 ) -> str:
     """Whole-word alternation over `keywords`, earlier keywords winning.
 
-    The word boundaries and the suffix are factored out of the alternation: a position
-    inside a word is rejected by one boundary test instead of one per keyword.  An empty
-    list matches nothing.
+    Word boundaries and suffix stand outside the alternation, so that a place inside a word is
+    rejected by one test instead of one per keyword.  An empty list matches nothing.
     """
     words = _usable(keywords)
     if not words:
         return NEVER
     if suffixes is None:
         suffixes = PLURAL if plural else ()
-    body = "|".join(escape(w) for w in words)
+    body = alternation(words, casing)
     flags = EXACT_CASE if casing else ANY_CASE
-    return rf"{flags}\b(?:{body}){_suffix(suffixes)}\b"
+    return rf"{flags}\b{body}{_suffix(suffixes)}\b"
 
 
 def inflected_pattern(keywords: Iterable[str | None]) -> str:
@@ -60,14 +93,11 @@ def inflected_pattern(keywords: Iterable[str | None]) -> str:
 
 def cooccurrence_pattern(keywords: Iterable[str | None]) -> str:
     """As `inflected_pattern`, where `"a,b"` means: a, then b later on the same line."""
-    parts = []
-    for keyword in _usable(keywords):
-        words = [escape(w.strip()) for w in keyword.split(",") if w.strip()]
-        if words:
-            parts.append(".*?".join(words))
-    if not parts:
+    split = [[w.strip() for w in k.split(",") if w.strip()] for k in _usable(keywords)]
+    body = "|".join(".*?".join(map(escape, words)) for words in split if words)
+    if not body:
         return NEVER
-    return rf"{ANY_CASE}\b(?:{'|'.join(parts)}){_suffix(INFLECTED)}\b"
+    return rf"{ANY_CASE}\b(?:{body}){_suffix(INFLECTED)}\b"
 
 
 def group_patterns(

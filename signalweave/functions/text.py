@@ -12,12 +12,15 @@ from signalweave.functions.patterns import escape
 
 # The clean-up patterns for text lines.
 NUMBERS = r"\d+?\.\d+|\.\d+|\d+-\d+|\d+/\d+|\d+/|-\d+|\d+|½|¼|⅔|¾/"
+NUMBER_START = r"(?=[\d.\-½¼⅔¾])"
 LINE_NOISE = ("\uf0b7", "\x0c", "____")
 NUMBERED_BRACKETS = r"\(.*?\d+.*?\)|\s\s+|\d/"
 BRACKETS = r"\(.*?\)"
 
 SENTENCE_END = r"([.!?])\s+"
 SENTENCE_MARK = "\u0001"
+CLOSING = rf"([.,;:!?()\[\]\"]+)([\s{SENTENCE_MARK}]|\z)"
+OPENING = rf"(^|[\s{SENTENCE_MARK}])([(\[\"]+)"
 
 
 def strip_nbsp(c: Column | str) -> Column:
@@ -42,7 +45,7 @@ def drop_brackets(c: Column | str) -> Column:
 def clean_line(c: Column | str, boilerplate: Sequence[str] = ()) -> Column:
     """Blank out numbers, layout noise, the given boilerplate phrases and numbered brackets."""
     noise = "|".join(escape(p) for p in (*LINE_NOISE, *boilerplate))
-    line = F.regexp_replace(as_column(c), NUMBERS, " ")
+    line = F.regexp_replace(as_column(c), f"{NUMBER_START}(?:{NUMBERS})", " ")
     line = F.regexp_replace(line, noise, " ")
     return F.regexp_replace(line, NUMBERED_BRACKETS, " ")
 
@@ -64,17 +67,29 @@ def join_phrases(c: Column | str, phrases: Iterable[str]) -> Column:
     return column
 
 
-def sentences(c: Column | str) -> Column:
-    """Sentences: cut after . ! ? where white space follows."""
-    marked = F.regexp_replace(as_column(c), SENTENCE_END, f"$1{SENTENCE_MARK}")
-    return F.split(marked, SENTENCE_MARK, -1)
+def _mark_sentences(c: Column) -> Column:
+    return F.regexp_replace(c, SENTENCE_END, f"$1{SENTENCE_MARK}")
 
 
-def words(c: Column | str) -> Column:
-    """White-space separated tokens, with surrounding punctuation cut into tokens of its own."""
-    spaced = F.regexp_replace(as_column(c), r"([.,;:!?()\[\]\"]+)(\s|\z)", " $1 ")
-    spaced = F.regexp_replace(spaced, r"(^|\s)([(\[\"]+)", " $2 ")
-    return F.filter(F.split(spaced, r"\s+", -1), lambda t: t != "")
+def sentences(c: Column | str) -> Column:
+    """Sentences: cut after . ! ? where white space follows."""
+    return F.split(_mark_sentences(as_column(c)), SENTENCE_MARK, -1)
+
+
+def sentence_words(c: Column | str) -> Column:
+    """ARRAY of sentences, each an ARRAY of tokens.
+
+    Tokens are separated by white space; punctuation around a word is a token of its own.  The
+    expressions run over the whole text before it is split at single characters: a split at an
+    expression would compile it for every sentence.
+    """
+    text = _mark_sentences(as_column(c))
+    text = F.regexp_replace(text, CLOSING, " $1 $2")
+    text = F.regexp_replace(text, OPENING, "$1 $2 ")
+    text = F.regexp_replace(text, r"\s+", " ")
+    return F.transform(
+        F.split(text, SENTENCE_MARK, -1), lambda s: F.array_remove(F.split(s, " ", -1), "")
+    )
 
 
 def word_count(c: Column | str) -> Column:

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalweave.functions.matching import contains_match, count_all
+from signalweave.functions.matching import as_column, contains_match, find_all
 from signalweave.functions.patterns import INFLECTED, cooccurrence_pattern, inflected_pattern, word_pattern
-from signalweave.functions.text import join_words, sentences, word_count, words
+from signalweave.functions.text import join_words, sentence_words, word_count
+from signalweave.operators.once import computed_once, explode_once
 from signalweave.sources.dictionaries import Rule
 
 # Blocks that are no running text, and the list elements of structured documents.
@@ -53,7 +54,7 @@ def structured_paragraphs(
     Figure, table and other given blocks go away; a list becomes one paragraph of its items.
     A paragraph ends at its end tag or where the next one begins.
     """
-    body = F.col(markup) if isinstance(markup, str) else markup
+    body = as_column(markup)
     blocks = "|".join(drop)
     body = F.regexp_replace(body, rf"(?is)<!--.*?-->|<({blocks})(?:\s[^>]*)?>.*?</\1\s*>", "")
     # Paragraph tags inside list items would cut the folded list apart.
@@ -117,12 +118,11 @@ def keyword_windows(
     """
     forms = inflections([r.anchor for r in rules])
     candidates = docs.filter(contains_match(text, inflected_pattern([r.anchor for r in rules])))
-    split = candidates.select(
-        doc, F.transform(sentences(text), lambda s: words(s)).alias("_sents")
-    )
-    flat = split.withColumn("_tokens", F.flatten("_sents")).withColumn(
-        "_owner",
-        F.flatten(F.transform("_sents", lambda s, i: F.array_repeat(i, F.size(s)))),
+    split = computed_once(candidates.select(doc, text), _sents=sentence_words(text)).drop(text)
+    flat = computed_once(
+        split,
+        _tokens=F.flatten("_sents"),
+        _owner=F.flatten(F.transform("_sents", lambda s, i: F.array_repeat(i, F.size(s)))),
     )
     surface = F.array(*map(F.lit, forms))
     located = F.filter(
@@ -146,13 +146,8 @@ def keyword_windows(
             around(h["pos"], negation_window).alias("neg_window"),
         ),
     )
-    return (
-        flat.withColumn("_hits", located)
-        .filter(F.size("_hits") > 0)
-        .select(doc, F.explode(hits).alias("_hit"))
-        .select(doc, "_hit.*")
-        .withColumn("key", F.element_at(_literal_map(forms), F.col("surface")))
-    )
+    found = explode_once(computed_once(flat, _hits=located), "_hit", hits)
+    return found.select(doc, "_hit.*").withColumn("key", F.element_at(_literal_map(forms), F.col("surface")))
 
 
 def check_context(occurrences: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -195,27 +190,42 @@ FUNCTION_WORDS = {
 }
 
 
-def language_of(text: Column | str, lexicon: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
-    """The language with most function words in the text, earlier ones winning ties; else NA."""
-    scores = F.array(
-        *[
-            F.struct(
-                count_all(text, word_pattern(ws, plural=False)).alias("n"),
-                F.lit(-place).alias("place"),
-                F.lit(lang).alias("lang"),
-            )
-            for place, (lang, ws) in enumerate(lexicon.items())
-        ]
+def function_words(text: Column | str, lexicon: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
+    """All function words of any language in the text, lowered: one search for all languages.
+
+    The entries are single words, so no entry can hide another.
+    """
+    every = list(dict.fromkeys(w for ws in lexicon.values() for w in ws))
+    return F.transform(find_all(text, word_pattern(every, plural=False)), F.lower)
+
+
+def language_of(found: Column | str, lexicon: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
+    """The language most of the function words belong to, earlier ones winning ties; else NA."""
+    found = as_column(found)
+
+    def score(words_: Sequence[str]) -> Column:
+        listed = F.array(*map(F.lit, words_))
+        return F.size(F.filter(found, lambda w: F.array_contains(listed, w)))
+
+    best = F.array_max(
+        F.array(
+            *[
+                F.struct(score(ws).alias("n"), F.lit(-place).alias("place"), F.lit(lang).alias("lang"))
+                for place, (lang, ws) in enumerate(lexicon.items())
+            ]
+        )
     )
-    best = F.array_max(scores)
     return F.when(best["n"] > 0, best["lang"]).otherwise(F.lit("NA"))
 
 
 def document_facts(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang, word_count); no shuffle."""
-    scored = docs.select(F.col(doc).cast("string").alias("doc_id"),
-                         language_of(text).alias("lang"), word_count(text).alias("word_count"))
-    return scored
+    searched = computed_once(
+        docs.select(F.col(doc).cast("string").alias("doc_id"), text),
+        word_count=word_count(text),
+        _found=function_words(text),
+    )
+    return searched.select("doc_id", language_of("_found").alias("lang"), "word_count")
 
 
 def enrich_metadata(meta: DataFrame, facts: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from signalweave.functions.matching import NO_STRINGS, as_column, find_all, no_strings, unbroken
 from signalweave.functions.patterns import word_pattern
+from signalweave.operators.once import computed_once
 from signalweave.sources.dictionaries import Rule
 
 LINE = "_line"
@@ -72,13 +73,11 @@ def explain_policy(
     known = F.array(*[F.lit(r.anchor) for r in rules]).cast(NO_STRINGS)
     found = F.filter(F.array_distinct(find_all(LINE, anchor_pattern(rules), clean=False)),
                      lambda a: F.array_contains(known, a))
-    searched = df.withColumn(LINE, rule_line(text, strict_surface)).withColumn("_anchors", found)
-    decided = searched.withColumn(
-        "_hits",
-        F.when(F.size("_anchors") > 0, F.array_intersect("_anchors", permitted_anchors(rules))).otherwise(
-            no_strings()
-        ),
-    ).withColumn("_first", F.try_element_at("_hits", F.lit(1)))
+    lines = df.withColumn(LINE, rule_line(text, strict_surface))
+    hits = F.when(F.size("_anchors") > 0, F.array_intersect("_anchors", permitted_anchors(rules)))
+    decided = computed_once(
+        computed_once(lines, _anchors=found), _first=F.try_element_at(hits, F.lit(1))
+    )
     evidence = F.lit(None).cast(NO_STRINGS)
     for rule in rules:
         if rule.include:
@@ -107,7 +106,8 @@ def add_policies(
     tags = F.array_compact(F.array(*labels)) if labels else no_strings()
     every = [r for rules in book.values() for r in rules]
     tags = F.when(F.col(LINE).rlike(anchor_pattern(every)), tags).otherwise(no_strings())
-    return df.withColumn(LINE, rule_line(text, strict_surface)).withColumn(column, tags).drop(LINE)
+    lines = df.withColumn(LINE, rule_line(text, strict_surface))
+    return computed_once(lines, **{column: tags}).drop(LINE)
 
 
 def add_policy_columns(df: DataFrame, policies: Sequence[str], tags: str = "policies") -> DataFrame:

@@ -7,10 +7,18 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalweave.functions.matching import count_all, find_all, frequency_map, group_tags
-from signalweave.functions.matching import match_lengths, match_positions
+from signalweave.functions.matching import (
+    count_all,
+    find_all,
+    frequency_map,
+    group_tags,
+    match_lengths,
+    match_positions,
+    unbroken,
+)
 from signalweave.functions.patterns import group_patterns, word_pattern
 from signalweave.operators.enrich import dummy, row_sum
+from signalweave.operators.once import computed_once, explode_once
 
 # Gazetteer entries whose aliases respect letter case.
 CASED_COUNTRIES = ("united-states", "united states of america")
@@ -28,8 +36,8 @@ def tag_countries(
 
 
 def explode_tags(df: DataFrame, tags: str, column: str) -> DataFrame:
-    """One row per tag; rows without tags go away before the explode."""
-    return df.filter(F.size(tags) > 0).withColumn(column, F.explode(tags)).drop(tags)
+    """One row per tag; rows without tags go away."""
+    return explode_once(df, column, F.col(tags)).drop(tags)
 
 
 def group_counts(
@@ -37,7 +45,7 @@ def group_counts(
 ) -> DataFrame:
     """Add `<group>_count` and `<group>_dummy` for every keyword group."""
     patterns = group_patterns(groups, plural=plural)
-    counted = df.select("*", *[count_all(text, p).alias(f"{g}_count") for g, p in patterns.items()])
+    counted = computed_once(df, **{f"{g}_count": count_all(text, p) for g, p in patterns.items()})
     return counted.select("*", *[dummy(f"{g}_count").alias(f"{g}_dummy") for g in patterns])
 
 
@@ -48,7 +56,7 @@ def add_multi_group(df: DataFrame, groups: Sequence[str], column: str = "all_dum
 
 def keyword_frequency(df: DataFrame, keywords: Iterable[str], text: str = "text") -> DataFrame:
     """Corpus totals per surface form: (keyword, n)."""
-    found = df.select(F.explode(find_all(text, word_pattern(keywords))).alias("keyword"))
+    found = explode_once(df.select(text), "keyword", find_all(text, word_pattern(keywords)))
     return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -56,21 +64,16 @@ def add_match_map(
     df: DataFrame, keywords: Iterable[str], text: str = "text", column: str = "matches"
 ) -> DataFrame:
     """Add MAP<surface form, occurrences>; the text is searched once."""
-    return df.withColumn("_found", find_all(text, word_pattern(keywords))).withColumn(
-        column, frequency_map("_found")
-    ).drop("_found")
+    found = computed_once(df, _found=find_all(text, word_pattern(keywords)))
+    return found.withColumn(column, frequency_map("_found")).drop("_found")
 
 
 def explode_positions(
     df: DataFrame, pattern: str, keep: Sequence[str], text: str = "text"
 ) -> DataFrame:
     """One row per match with its 0-based offset in the unbroken text."""
-    line = F.translate(text, "\r\n", "")
+    lines = df.select(*keep, unbroken(text).alias("_line")).filter(F.col("_line").rlike(pattern))
     matches, pieces = match_lengths("_line", pattern)
-    return (
-        df.select(*keep, line.alias("_line"))
-        .filter(F.col("_line").rlike(pattern))
-        .select(*keep, matches.alias("_found"), pieces.alias("_pieces"))
-        .select(*keep, F.explode(match_positions("_found", "_pieces")).alias("_hit"))
-        .select(*keep, "_hit.match", "_hit.start")
-    )
+    cut = computed_once(lines, _found=matches, _pieces=pieces)
+    hits = explode_once(cut.select(*keep, "_found", "_pieces"), "_hit", match_positions("_found", "_pieces"))
+    return hits.select(*keep, "_hit.match", "_hit.start")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from signalweave.functions.matching import find_all, no_strings
 from signalweave.functions.patterns import word_pattern
 from signalweave.operators.enrich import clip_to_one
+from signalweave.operators.once import computed_once
 from signalweave.sources.dictionaries import AndKeys
 
 HITS = "hits"
@@ -26,7 +27,7 @@ def add_hits(df: DataFrame, keys: AndKeys, text: str = "text", column: str = HIT
     AND keys are a short literal array of structs: adding keys does not add plan nodes.
     """
     pattern = word_pattern(keys.search_words, plural=False)
-    searched = df.withColumn("_words", F.array_distinct(find_all(F.lower(text), pattern)))
+    searched = computed_once(df, _words=F.array_distinct(find_all(F.lower(text), pattern)))
     if not keys.combined:
         return searched.withColumnRenamed("_words", column)
     table = F.array(
@@ -54,7 +55,8 @@ def add_theme_tags(
     df: DataFrame, keys: AndKeys, themes: Sequence[str], hits: str = HITS
 ) -> DataFrame:
     """Add `<theme>_tag` per keyword group and `keep_tag` = 1 where all themes are present."""
-    tagged = df.select("*", *[clip_to_one(theme_tag(keys.groups[t], hits)).alias(f"{t}_tag") for t in themes])
+    tags = {f"{t}_tag": clip_to_one(theme_tag(keys.groups[t], hits)) for t in themes}
+    tagged = computed_once(df, **tags)
     total = sum((F.col(f"{t}_tag") for t in themes), F.lit(0))
     return tagged.withColumn("keep_tag", F.when(total >= len(themes), 1).otherwise(0))
 

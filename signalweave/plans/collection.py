@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from signalweave.functions.predicates import any_of, in_place, not_repost
 from signalweave.functions.temporal import within
+from signalweave.operators.once import explode_once
 
 
 def select_posts(
@@ -27,4 +28,4 @@ def select_posts(
     if country:
         base = base.filter(in_place(country))
     groups = F.array_compact(F.array(*[F.when(any_of(*qs), F.lit(g)) for g, qs in queries.items()]))
-    return base.withColumn("group", F.explode(groups))
+    return explode_once(base, "group", groups)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from signalweave.operators.once import explode_once
 from signalweave.operators.rules import add_policies
 from signalweave.operators.series import counts_with_share, trailing_stats
 from signalweave.sources.dictionaries import Rule
@@ -21,9 +22,8 @@ def policy_series(
     Needs the columns `id`, `country`, `negative`, `time_month` and the text, which is dropped
     as soon as the policies are known.
     """
-    tagged = add_policies(posts, book, text).select(
-        "id", "country", "negative", "time_month", F.explode("policies").alias("policy")
-    )
+    tagged = add_policies(posts, book, text).select("id", "country", "negative", "time_month", "policies")
+    tagged = explode_once(tagged, "policy", F.col("policies")).drop("policies")
     wide = counts_with_share(tagged, keys=("policy", "country", "time_month"))
     return trailing_stats(wide, group_keys=("policy", "country"))
 

@@ -51,3 +51,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark, "checkpoint"))
     return df.checkpoint(eager=True)
+
+
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a small input out to all cores before costly work on each row.
+
+    A file is read by as many tasks as it has row groups, so a small table of long texts may
+    occupy a single core.  An input with at least a split per core is left as it is: at scale
+    this adds no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
