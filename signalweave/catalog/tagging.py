@@ -133,9 +133,9 @@ def term_expansion(spark: SparkSession, folder: str) -> DataFrame:
 
 def keyword_remap(spark: SparkSession, folder: str) -> DataFrame:
     sheet = spark.createDataFrame(list(EVENT_CATEGORIES), "group STRING, keyword STRING")
-    events = table(spark, folder, "events").select("event_id", "event_type")
-    mapped = remap_keywords(events, "event_type", sheet)
-    return mapped.groupBy("category").agg(F.count("event_id").alias("n"))
+    counts = table(spark, folder, "events").groupBy("event_type").agg(F.count("event_id").alias("n"))
+    mapped = remap_keywords(counts, "event_type", sheet)
+    return mapped.groupBy("category").agg(F.sum("n").alias("n"))
 
 
 def inflected_match(spark: SparkSession, folder: str) -> DataFrame:

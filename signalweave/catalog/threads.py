@@ -2,53 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalweave.catalog.tables import table
+from signalweave.functions.predicates import is_root
 from signalweave.operators.threads import replies_and_quotes, root_posts
 
 
-def thread_posts(spark: SparkSession, folder: str) -> DataFrame:
-    """Turn 0 is the root; every third turn quotes the root of the previous conversation.
+def root_name(conversation: Column) -> Column:
+    return F.concat(conversation.cast("string"), F.lit("-0"))
 
-    Reply counts come from one count per conversation, taken before the join.
-    """
-    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role")
-    sizes = turns.groupBy("conv_id").agg((F.count(F.lit(1)) - 1).alias("replies"))
+
+def thread_posts(turns: DataFrame) -> DataFrame:
+    """Turns as posts: turn 0 is the root, every third turn quotes the previous conversation's root."""
     quotes = (F.col("turn") > 0) & (F.col("turn") % 3 == 0)
-    root_of = lambda conv: F.concat(conv.cast("string"), F.lit("-0"))
-    reference = F.when(
-        quotes, F.array(F.struct(F.lit("quoted").alias("type"), root_of(F.col("conv_id") - 1).alias("id")))
-    )
-    return turns.join(sizes, "conv_id").select(
+    quoted = F.struct(F.lit("quoted").alias("type"), root_name(F.col("conv_id") - 1).alias("id"))
+    return turns.select(
+        "conv_id",
         F.concat_ws("-", "conv_id", "turn").alias("id"),
-        root_of(F.col("conv_id")).alias("conversation_id"),
+        root_name(F.col("conv_id")).alias("conversation_id"),
         F.col("role").alias("author_id"),
         F.format_string("%06d", "turn").alias("created_at"),
-        F.struct(
-            F.when(F.col("turn") == 0, F.col("replies")).alias("reply_count"),
-            F.lit(None).cast("bigint").alias("quote_count"),
-        ).alias("public_metrics"),
-        reference.alias("referenced_tweets"),
+        F.when(quotes, F.array(quoted)).alias("referenced_tweets"),
     )
 
 
+def threads_and_roots(spark: SparkSession, folder: str, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """All posts, and the roots with their reply counts.
+
+    Replies are counted by conversation and joined to the roots only, one row per conversation.
+    """
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role")
+    posts = thread_posts(turns)
+    sizes = turns.groupBy("conv_id").agg((F.count(F.lit(1)) - 1).alias("reply_count"))
+    metrics = F.struct("reply_count", F.lit(None).cast("bigint").alias("quote_count"))
+    roots = posts.filter(is_root()).join(sizes, "conv_id").withColumn("public_metrics", metrics)
+    return posts.drop("conv_id"), root_posts(roots, threshold=threshold)
+
+
 def conversation_roots(spark: SparkSession, folder: str) -> DataFrame:
-    roots = root_posts(thread_posts(spark, folder), threshold=3)
+    _, roots = threads_and_roots(spark, folder, 3)
     return roots.select("id", "author_id", "public_metrics.reply_count")
 
 
 def replies_and_quotes_query(spark: SparkSession, folder: str) -> DataFrame:
-    posts = thread_posts(spark, folder)
-    found = replies_and_quotes(posts, root_posts(posts, threshold=3))
+    found = replies_and_quotes(*threads_and_roots(spark, folder, 3))
     return found.select("id", "twitter_type", "referenced_tweet_id")
 
 
 def recent_replies(spark: SparkSession, folder: str) -> DataFrame:
     """At most the two latest replies and quotes of each root."""
-    posts = thread_posts(spark, folder)
-    found = replies_and_quotes(posts, root_posts(posts, threshold=3), per_root=2)
+    found = replies_and_quotes(*threads_and_roots(spark, folder, 3), per_root=2)
     return found.select("id", "twitter_type", "referenced_tweet_id")
 
 

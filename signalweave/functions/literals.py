@@ -23,9 +23,8 @@ def as_json(c: Column | str) -> Column:
 def parse_list(c: Column | str) -> Column:
     """`"['china', 'iran']"` to ARRAY<STRING>; text that is no list becomes a list of itself."""
     column = as_column(c)
-    parsed = F.from_json(column, "array<string>")
-    is_list = F.trim(column).startswith("[")
-    return F.when(is_list & parsed.isNotNull(), parsed).when(column.isNotNull(), F.array(column))
+    parsed = F.when(F.ltrim(column).startswith("["), F.from_json(column, "array<string>"))
+    return F.coalesce(parsed, F.when(column.isNotNull(), F.array(column)))
 
 
 def parse_metrics(c: Column | str) -> Column:

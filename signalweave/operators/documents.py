@@ -86,15 +86,19 @@ def inflections(keys: Sequence[str], suffixes: Sequence[str] = INFLECTED) -> dic
 
 
 def strip_lookup(df: DataFrame, column: str, dimension: DataFrame, key: str, out: str = "matched_key") -> DataFrame:
-    """Look a word up in the dimension as it is, then without its last 1, 2, 3 letters."""
+    """Look a word up in the dimension as it is, then without its last 1, 2, 3 letters.
+
+    Only distinct words go through the four lookups; the rows are joined once with the result.
+    """
     known = dimension.select(F.col(key).alias("_key")).distinct()
-    joined, hits = df, []
+    found, hits = df.select(F.col(column).alias("_form")).distinct(), []
     for cut in range(4):
         side = known.select(F.col("_key").alias(f"_key{cut}"))
-        stem = F.col(column) if cut == 0 else F.expr(f"left(`{column}`, length(`{column}`) - {cut})")
-        joined = joined.join(side, stem == F.col(f"_key{cut}"), "left")
+        stem = F.left("_form", F.length("_form") - cut)
+        found = found.join(side, stem == F.col(f"_key{cut}"), "left")
         hits.append(f"_key{cut}")
-    return joined.withColumn(out, F.coalesce(*hits)).drop(*hits)
+    lookup = found.select("_form", F.coalesce(*hits).alias(out)).filter(F.col(out).isNotNull())
+    return df.join(lookup, df[column] == lookup["_form"], "left").drop("_form")
 
 
 def _literal_map(table: Mapping[str, str]) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from signalweave.functions.matching import as_column
 
-NULL_SALTS = 32
+NULL_SALTS = 256
+KEY_COPIES = 32
 
 
 def negative_label(label: Column | str) -> Column:
@@ -38,15 +39,27 @@ def recode(df: DataFrame, column: str, dimension: DataFrame, source: str, target
     return joined.withColumn(column, F.coalesce("_to", column)).drop("_from", "_to")
 
 
+def _member_keys(dimension: DataFrame, member: str) -> DataFrame:
+    """The keys to test against, few copies of each.
+
+    The dimension may itself be a large table in which one key fills a third of the rows.  The
+    partial aggregation removes such copies before they are shuffled; the extra grouping by
+    input task keeps the join's own shuffle apart, so that Spark can still split a hot key on
+    the other side.
+    """
+    task = F.pmod(F.spark_partition_id(), F.lit(KEY_COPIES))
+    return dimension.select(F.col(member).alias("_member"), task.alias("_task")).distinct().drop("_task")
+
+
 def keep_members(df: DataFrame, column: str, dimension: DataFrame, member: str) -> DataFrame:
     """Rows whose value occurs in the dimension."""
-    members = dimension.select(F.col(member).alias("_member"))
+    members = _member_keys(dimension, member)
     return df.join(members, df[column] == members["_member"], "left_semi")
 
 
 def keep_absent(df: DataFrame, column: str, done: DataFrame, member: str) -> DataFrame:
     """Rows whose value does not occur in `done` (users not yet collected)."""
-    members = done.select(F.col(member).alias("_member"))
+    members = _member_keys(done, member)
     return df.join(members, df[column] == members["_member"], "left_anti")
 
 

@@ -14,6 +14,9 @@ SALT = "_salt"
 RANK = "_rank"
 SALTED_FROM = 16
 SALTS = 64
+# Above this many rows per key Spark does not limit keys before the shuffle, so parts must be small.
+MAP_SIDE_LIMIT = 1000
+MANY_SALTS = 4096
 
 
 def _first_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
@@ -45,10 +48,11 @@ def most_recent(
     survivors contain the key's first `n`, which the second step picks.
     """
     if salts is None:
-        salts = SALTS if n >= SALTED_FROM else 1
+        salts = 1 if n < SALTED_FROM else SALTS if n <= MAP_SIDE_LIMIT else MANY_SALTS
     if salts > 1:
-        part = F.pmod(F.xxhash64(*spread_by), F.lit(salts))
-        df = _first_n(df.withColumn(SALT, part), [*keys, SALT], order, n).drop(RANK, SALT)
+        # Key and part in one column: rows that already lie by key would not be moved otherwise.
+        part = F.struct(*keys, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).alias("part"))
+        df = _first_n(df.withColumn(SALT, part), [SALT], order, n).drop(RANK, SALT)
     return _first_n(df, keys, order, n).withColumnRenamed(RANK, "rank")
 
 

@@ -36,13 +36,13 @@ def clean_posts(posts: DataFrame, dedupe: bool = True) -> DataFrame:
     columns are cut down before the shuffle of the de-duplication.
     """
     kept = posts.select("created_at", "text_processed", "id", "label", "category", "Country")
-    if dict(kept.dtypes)["Country"] == "string":
-        kept = kept.filter(F.col("Country") != "[]").withColumn("Country", parse_list("Country"))
-    kept = kept.filter(F.size("Country") > 0)
+    as_text = dict(kept.dtypes)["Country"] == "string"
+    kept = kept.filter(F.col("Country") != "[]" if as_text else F.size("Country") > 0)
     if dedupe:
         order = [F.asc("created_at"), F.asc("text_processed"), F.asc("label"), F.asc("Country")]
         kept = keep_first(kept, ["category", "id"], order)
-    rows = explode_tags(kept.withColumnRenamed("Country", "_tags"), "_tags", "country")
+    tags = parse_list("Country") if as_text else F.col("Country")
+    rows = explode_tags(kept.withColumn("_tags", tags).drop("Country"), "_tags", "country")
     rows = rows.withColumn("negative", negative_label("label")).select(*POST_COLUMNS)
     return with_month(rows)
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from signalweave.operators.enrich import keep_absent
+
 SPREAD = 16
 
 
@@ -37,4 +39,4 @@ def add_year(df: DataFrame, day: str = "time") -> DataFrame:
 
 def without_result(requested: DataFrame, result: DataFrame, key: str = "id") -> DataFrame:
     """Requested keys that produced no result, each once: the table of failed ids."""
-    return requested.select(key).join(result.select(key), key, "left_anti").distinct()
+    return keep_absent(requested.select(key).distinct(), key, result, key)
