@@ -34,7 +34,7 @@ def newline_to_space(c: Column | str) -> Column:
 
 def split_on(c: Column | str, delimiter: str) -> Column:
     """Split at a literal delimiter, trim the parts, drop blank ones."""
-    parts = F.transform(F.split(as_column(c), escape(delimiter), -1), F.trim)
+    parts = F.transform(F.split(as_column(c), escape(delimiter), -1), lambda p: F.trim(p))
     return F.filter(parts, lambda p: p != "")
 
 

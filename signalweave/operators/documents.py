@@ -200,7 +200,7 @@ def function_words(text: Column | str, lexicon: Mapping[str, Sequence[str]] = FU
     The entries are single words, so no entry can hide another.
     """
     every = list(dict.fromkeys(w for ws in lexicon.values() for w in ws))
-    return F.transform(find_all(text, word_pattern(every, plural=False)), F.lower)
+    return F.transform(find_all(text, word_pattern(every, plural=False)), lambda w: F.lower(w))
 
 
 def language_of(found: Column | str, lexicon: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
