@@ -25,6 +25,7 @@ from signalweave.operators.enrich import (
 from signalweave.operators.once import computed_once
 from signalweave.operators.ranking import id_batches, keep_first, most_recent
 from signalweave.operators.tagging import explode_tags
+from signalweave.plans.collection import first_pages
 from signalweave.sources.writers import without_result
 
 
@@ -207,6 +208,12 @@ def distinct_values(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select("user_id", "event_type").distinct()
 
 
+def top_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """The first two pages of accounts, largest first."""
+    users = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
+    return first_pages(users, [F.desc("c_acctbal"), F.asc("c_custkey")], pages=2, page_size=25)
+
+
 def suffix_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Part names, some with an ending, looked up in the list of names."""
     parts = table(spark, folder, "part").select(
@@ -239,6 +246,7 @@ QUERIES = {
     "mention_author_filters": mention_author_filters,
     "global_sum": global_sum,
     "distinct_values": distinct_values,
+    "top_accounts": top_accounts,
     "suffix_lookup": suffix_lookup,
 }
 
@@ -294,6 +302,7 @@ WHERE event_type <> 'error' AND event_id % 10 IN (1, 2) AND (n_name = 'NATION_3'
     "global_sum": """SELECT CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS flag_total,
   count(*) AS total_count FROM events""",
     "distinct_values": "SELECT DISTINCT user_id, event_type FROM events",
+    "top_accounts": "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 50",
     "suffix_lookup": """WITH names AS (SELECT DISTINCT p_name FROM part WHERE p_size > 5),
 s AS (SELECT p_partkey, p_name || ['', 's', 'es', 'ing', 'able'][p_partkey % 5 + 1] AS surface FROM part),
 c AS (SELECT p_partkey, surface, unnest([0, 1, 2, 3]) AS cut FROM s),

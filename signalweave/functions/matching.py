@@ -35,15 +35,18 @@ def contains_match(text: Column | str, pattern: str) -> Column:
     return F.coalesce(as_column(text).rlike(pattern), F.lit(False))
 
 
-def find_all(text: Column | str, pattern: str, clean: bool = True) -> Column:
-    """All non-overlapping matches from left to right; empty for NULL text."""
-    column = unbroken(text) if clean else as_column(text)
+def find_all(text: Column | str, pattern: str, clean: bool = True, newline: str = "") -> Column:
+    """All non-overlapping matches from left to right; empty for NULL text.
+
+    `clean` searches the unbroken text, with `newline` in place of line breaks.
+    """
+    column = unbroken(text, newline) if clean else as_column(text)
     return F.coalesce(F.regexp_extract_all(column, F.lit(pattern), F.lit(0)), no_strings())
 
 
-def count_all(text: Column | str, pattern: str, clean: bool = True) -> Column:
+def count_all(text: Column | str, pattern: str, clean: bool = True, newline: str = "") -> Column:
     """Number of matches; 0 for NULL text."""
-    column = unbroken(text) if clean else as_column(text)
+    column = unbroken(text, newline) if clean else as_column(text)
     return F.coalesce(F.regexp_count(column, F.lit(pattern)), F.lit(0))
 
 

@@ -83,10 +83,11 @@ def sentence_words(c: Column | str) -> Column:
     expressions run over the whole text before it is split at single characters: a split at an
     expression would compile it for every sentence.
     """
-    text = _mark_sentences(as_column(c))
-    text = F.regexp_replace(text, CLOSING, " $1 $2")
-    text = F.regexp_replace(text, OPENING, "$1 $2 ")
-    text = F.regexp_replace(text, r"\s+", " ")
+    column = as_column(c)
+    text = F.regexp_replace(_mark_sentences(column), CLOSING, " $1 $2")
+    opens = column.contains("(") | column.contains("[") | column.contains('"')
+    text = F.when(opens, F.regexp_replace(text, OPENING, "$1 $2 ")).otherwise(text)
+    text = F.regexp_replace(text, r"[\t-\r]", " ")
     return F.transform(
         F.split(text, SENTENCE_MARK, -1), lambda s: F.array_remove(F.split(s, " ", -1), "")
     )

@@ -28,10 +28,13 @@ def _whole(words: Sequence[str]) -> str:
     return word_pattern(words, plural=False)
 
 
-def rule_condition(rule: Rule, line: Column | str = LINE) -> Column:
-    """Whether the words around the anchor permit the rule."""
+def rule_condition(rule: Rule, anchors: Column | str, line: Column | str = LINE) -> Column:
+    """Whether the anchor was found and the words around it permit the rule.
+
+    The words are searched only where the anchor was found.
+    """
     line = as_column(line)
-    condition = F.lit(True)
+    condition = F.array_contains(as_column(anchors), rule.anchor)
     if rule.include:
         condition = condition & line.rlike(_whole(rule.include))
     if rule.exclude:
@@ -39,10 +42,10 @@ def rule_condition(rule: Rule, line: Column | str = LINE) -> Column:
     return condition
 
 
-def permitted_anchors(rules: Sequence[Rule], line: Column | str = LINE) -> Column:
-    return F.array_compact(
-        F.array(*[F.when(rule_condition(r, line), F.lit(r.anchor)) for r in rules])
-    ).cast(NO_STRINGS)
+def permitted_anchors(rules: Sequence[Rule], anchors: Column | str, line: Column | str = LINE) -> Column:
+    """Anchors found whose rule is satisfied, in dictionary order."""
+    satisfied = [F.when(rule_condition(r, anchors, line), F.lit(r.anchor)) for r in rules]
+    return F.array_compact(F.array(*satisfied)).cast(NO_STRINGS)
 
 
 def rule_line(text: Column | str, strict_surface: bool = False) -> Column:
@@ -54,14 +57,6 @@ def rule_line(text: Column | str, strict_surface: bool = False) -> Column:
     return line if strict_surface else F.lower(line)
 
 
-def policy_status(rules: Sequence[Rule], line: Column | str = LINE) -> Column:
-    """BOOLEAN for one policy; texts without any anchor stop at the first test."""
-    line = as_column(line)
-    anchors = F.regexp_extract_all(line, F.lit(anchor_pattern(rules)), F.lit(0))
-    satisfied = F.arrays_overlap(anchors, permitted_anchors(rules, line))
-    return F.when(line.rlike(anchor_pattern(rules)), satisfied).otherwise(F.lit(False))
-
-
 def explain_policy(
     df: DataFrame, rules: Sequence[Rule], text: str = "text", strict_surface: bool = False
 ) -> DataFrame:
@@ -74,7 +69,7 @@ def explain_policy(
     found = F.filter(F.array_distinct(find_all(LINE, anchor_pattern(rules), clean=False)),
                      lambda a: F.array_contains(known, a))
     lines = df.withColumn(LINE, rule_line(text, strict_surface))
-    hits = F.when(F.size("_anchors") > 0, F.array_intersect("_anchors", permitted_anchors(rules)))
+    hits = F.when(F.size("_anchors") > 0, F.array_intersect("_anchors", permitted_anchors(rules, "_anchors")))
     decided = computed_once(
         computed_once(lines, _anchors=found), _first=F.try_element_at(hits, F.lit(1))
     )
@@ -101,13 +96,27 @@ def add_policies(
     column: str = "policies",
     strict_surface: bool = False,
 ) -> DataFrame:
-    """Add the ARRAY of all satisfied policies."""
-    labels = [F.when(policy_status(rules), F.lit(policy)) for policy, rules in book.items()]
-    tags = F.array_compact(F.array(*labels)) if labels else no_strings()
-    every = [r for rules in book.values() for r in rules]
-    tags = F.when(F.col(LINE).rlike(anchor_pattern(every)), tags).otherwise(no_strings())
-    lines = df.withColumn(LINE, rule_line(text, strict_surface))
-    return computed_once(lines, **{column: tags}).drop(LINE)
+    """Add the ARRAY of all satisfied policies.
+
+    Texts without any anchor stop after one test; the others are searched once per policy for
+    anchors, and per anchor found for its include and exclude words.
+    """
+    if not book:
+        return df.withColumn(column, no_strings())
+    names = {policy: f"_anchors{place}" for place, policy in enumerate(book)}
+    anywhere = F.col(LINE).rlike(anchor_pattern([r for rules in book.values() for r in rules]))
+    found = {
+        names[policy]: F.when(anywhere, find_all(LINE, anchor_pattern(rules), clean=False))
+        for policy, rules in book.items()
+    }
+    searched = computed_once(df.withColumn(LINE, rule_line(text, strict_surface)), **found)
+    labels = [
+        F.when(F.size(permitted_anchors(rules, names[policy])) > 0, F.lit(policy))
+        for policy, rules in book.items()
+    ]
+    tags = F.when(F.col(names[next(iter(book))]).isNotNull(), F.array_compact(F.array(*labels)))
+    tagged = computed_once(searched, **{column: F.coalesce(tags, no_strings())})
+    return tagged.drop(LINE, *names.values())
 
 
 def add_policy_columns(df: DataFrame, policies: Sequence[str], tags: str = "policies") -> DataFrame:

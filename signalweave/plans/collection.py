@@ -12,6 +12,11 @@ from signalweave.functions.temporal import within
 from signalweave.operators.once import explode_once
 
 
+def first_pages(posts: DataFrame, order: Sequence[Column], pages: int, page_size: int = 100) -> DataFrame:
+    """The first `pages` pages of a result in the given, total order."""
+    return posts.orderBy(*order).limit(pages * page_size)
+
+
 def select_posts(
     posts: DataFrame,
     queries: Mapping[str, Sequence[Column]],
