@@ -17,7 +17,8 @@ def as_json(c: Column | str) -> Column:
     spelled = column
     for python, json in (("None", "null"), ("True", "true"), ("False", "false")):
         spelled = F.regexp_replace(spelled, _VALUE.format(python), f"$1{json}")
-    return F.when(column.rlike("None|True|False"), spelled).otherwise(column)
+    present = column.contains("None") | column.contains("True") | column.contains("False")
+    return F.when(present, spelled).otherwise(column)
 
 
 def parse_list(c: Column | str) -> Column:

@@ -72,14 +72,13 @@ def running_sum(numbers: Column) -> Column:
     )
 
 
-def match_lengths(text: Column | str, pattern: str) -> tuple[Column, Column]:
-    """Matches and the pieces of text around them, for `match_positions`."""
-    column = as_column(text)
-    return find_all(column, pattern, clean=False), F.split(column, pattern, -1)
+def gaps_between(text: Column | str, pattern: str) -> Column:
+    """The pieces of text before, between and after the matches."""
+    return F.split(as_column(text), pattern, -1)
 
 
 def match_positions(matches: Column | str, pieces: Column | str) -> Column:
-    """ARRAY<STRUCT<match, start>> with 0-based offsets, from the output of `match_lengths`.
+    """ARRAY<STRUCT<match, start>> with 0-based offsets, from `find_all` and `gaps_between`.
 
     Spark offers no call that returns all offsets.  Splitting the text at the matches gives
     the gaps, and an offset is the sum of the earlier gaps and matches.

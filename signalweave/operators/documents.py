@@ -117,21 +117,20 @@ def keyword_windows(
 
     The text is expected to be phrase-joined and lowered.  A window holds the tokens from half
     its size before the keyword up to, and not including, half its size after it, cut at the
-    ends of the document.  Documents that cannot match are filtered out before tokenising, and
-    only occurrences are exploded, not tokens.
+    ends of the document.  Documents that cannot match are not tokenised, and only occurrences
+    are exploded, not tokens.
     """
     forms = inflections([r.anchor for r in rules])
-    candidates = docs.filter(contains_match(text, inflected_pattern([r.anchor for r in rules])))
-    split = computed_once(candidates.select(doc, text), _sents=sentence_words(text)).drop(text)
+    possible = contains_match(text, inflected_pattern([r.anchor for r in rules]))
+    split = computed_once(docs.select(doc, text), _sents=F.when(possible, sentence_words(text))).drop(text)
     flat = computed_once(
         split,
         _tokens=F.flatten("_sents"),
         _owner=F.flatten(F.transform("_sents", lambda s, i: F.array_repeat(i, F.size(s)))),
     )
-    surface = F.array(*map(F.lit, forms))
     located = F.filter(
         F.transform("_tokens", lambda t, i: F.struct(i.alias("pos"), t.alias("surface"))),
-        lambda h: F.array_contains(surface, h["surface"]),
+        lambda h: h["surface"].isin(*forms),
     )
 
     def around(pos: Column, size: int) -> Column:
@@ -208,8 +207,7 @@ def language_of(found: Column | str, lexicon: Mapping[str, Sequence[str]] = FUNC
     found = as_column(found)
 
     def score(words_: Sequence[str]) -> Column:
-        listed = F.array(*map(F.lit, words_))
-        return F.size(F.filter(found, lambda w: F.array_contains(listed, w)))
+        return F.size(F.filter(found, lambda w: w.isin(*words_)))
 
     best = F.array_max(
         F.array(

@@ -11,8 +11,8 @@ from signalweave.functions.matching import (
     count_all,
     find_all,
     frequency_map,
+    gaps_between,
     group_tags,
-    match_lengths,
     match_positions,
     unbroken,
 )
@@ -72,8 +72,9 @@ def explode_positions(
     df: DataFrame, pattern: str, keep: Sequence[str], text: str = "text"
 ) -> DataFrame:
     """One row per match with its 0-based offset in the unbroken text."""
-    lines = df.select(*keep, unbroken(text).alias("_line")).filter(F.col("_line").rlike(pattern))
-    matches, pieces = match_lengths("_line", pattern)
-    cut = computed_once(lines, _found=matches, _pieces=pieces)
+    lines = df.select(*keep, unbroken(text).alias("_line"))
+    searched = computed_once(lines, _found=find_all("_line", pattern, clean=False))
+    pieces = gaps_between("_line", pattern)
+    cut = computed_once(searched.filter(F.size("_found") > 0), _pieces=pieces)
     hits = explode_once(cut.select(*keep, "_found", "_pieces"), "_hit", match_positions("_found", "_pieces"))
     return hits.select(*keep, "_hit.match", "_hit.start")

@@ -13,8 +13,8 @@ from signalweave.functions.matching import (
     count_all,
     find_all,
     frequency_map,
+    gaps_between,
     group_tags,
-    match_lengths,
     match_positions,
     unbroken,
 )
@@ -105,8 +105,8 @@ def test_counts_and_frequency(one):
 @given(st.text(alphabet="ab é.", max_size=40))
 def test_positions_equal_finditer(spark, text):
     pattern = word_pattern(["ab", "a", "é"])
-    matches, pieces = match_lengths("text", pattern)
-    row = spark.createDataFrame([(text,)], "text STRING").select(match_positions(matches, pieces).alias("p")).first()
+    positions = match_positions(find_all("text", pattern, clean=False), gaps_between("text", pattern))
+    row = spark.createDataFrame([(text,)], "text STRING").select(positions.alias("p")).first()
     expected = [(m.group(), m.start()) for m in re.finditer(r"\b(?:ab|a|é)(?:s|es)?\b", text, re.I)]
     assert [(h["match"], h["start"]) for h in row.p] == expected
 
