@@ -16,7 +16,7 @@ from signalweave.sources.dictionaries import Rule
 # Blocks that are no running text, and the list elements of structured documents.
 FIGURE_TAGS = ("fig", "table-wrap")
 LIST_TAG, ITEM_TAG, PARAGRAPH_TAG = "list", "list-item", "p"
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
             ("&nbsp;", " "), ("&amp;", "&"))
 
 
@@ -34,9 +34,25 @@ def _element(tag: str, body: str = ".*?") -> str:
     return rf"(?is)<{tag}(?:\s[^>]*)?>{body}</{tag}\s*>"
 
 
+def _decode_references(text: Column) -> Column:
+    """Numeric character references (`&#233;`, `&#xE9;`) to characters; impossible ones stay."""
+
+    def decoded(piece: Column, place: Column) -> Column:
+        digits = F.regexp_extract(piece, r"^(\d{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+        hexadecimal = F.lower(digits).startswith("x")
+        code = F.when(hexadecimal, F.conv(F.substring(digits, 2, 6), 16, 10)).otherwise(digits).try_cast("int")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        letter = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        rest = F.substring(piece, F.length(digits) + 2, F.length(piece))
+        return F.when(place == 0, piece).when(valid, F.concat(letter, rest)).otherwise(F.concat(F.lit("&#"), piece))
+
+    return F.array_join(F.transform(F.split(text, "&#", -1), decoded), "")
+
+
 def plain_text(markup: Column) -> Column:
-    """Drop tags, decode the predefined entities, put line breaks to blanks."""
+    """Drop tags, decode the predefined entities and numeric references, put line breaks to blanks."""
     out = F.regexp_replace(markup, r"(?s)<[^>]*>", "")
+    out = F.when(markup.contains("&#"), _decode_references(out)).otherwise(out)
     for entity, character in ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(character))
     return F.translate(out, "\n", " ")

@@ -12,7 +12,8 @@ from signalweave.session import cut_lineage
 
 SALT = "_salt"
 RANK = "_rank"
-SALTED_FROM = 16
+# Up to here the rows that every task keeps of a key are few enough for one task to rank.
+SALTED_FROM = 100
 SALTS = 64
 # Above this many rows per key Spark does not limit keys before the shuffle, so parts must be small.
 MAP_SIDE_LIMIT = 1000

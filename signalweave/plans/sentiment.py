@@ -19,9 +19,9 @@ from signalweave.sources.schemas import GEO_POSTS, SENTIMENT_POSTS, TAGGED_POSTS
 POST_COLUMNS = ("created_at", "text_processed", "id", "negative", "category", "country")
 
 
-def read_sentiment_posts(spark: SparkSession, path: Paths) -> DataFrame:
+def read_sentiment_posts(spark: SparkSession, path: Paths, multi_line: bool = True) -> DataFrame:
     """A folder of post files, the category taken from the file name."""
-    return read_csv(spark, path, SENTIMENT_POSTS).withColumn("category", category_from_file())
+    return read_csv(spark, path, SENTIMENT_POSTS, multi_line=multi_line).withColumn("category", category_from_file())
 
 
 def tag_posts(posts: DataFrame, gazetteer: Mapping[str, Iterable[str]]) -> DataFrame:

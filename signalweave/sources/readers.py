@@ -17,13 +17,16 @@ def read_csv(
     schema: str,
     recursive: bool = False,
     suffix: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV files below a path, folder or glob; rows that do not fit the schema are dropped.
 
-    The schema is required: without it a row with surplus fields would be kept.
+    The schema is required: without it a row with surplus fields would be kept.  Texts may hold
+    line breaks by default, for which a file has to be read by one task; pass `multi_line=False`
+    for files with a row per line, so that large ones are split.
     """
     reader = spark.read.schema(schema).options(
-        header=True, mode="DROPMALFORMED", multiLine=True, escape='"'
+        header=True, mode="DROPMALFORMED", multiLine=multi_line, escape='"'
     )
     if recursive:
         reader = reader.option("recursiveFileLookup", True)

@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from signalweave.operators.documents import (
-    assemble_paragraphs, document_facts, enrich_metadata, inflections, keyword_windows, strip_lookup,
+    assemble_paragraphs, document_facts, enrich_metadata, inflections, keyword_windows, plain_text, strip_lookup,
     structured_paragraphs,
 )
 from signalweave.plans.document_search import search_documents
@@ -101,6 +102,12 @@ def test_paragraphs_of_structured_documents(spark):
     assert rows[0][-3:] == ["One two & <3", "a b", "last"] and rows[1:] == [[], []]
 
 
+def test_character_references(one):
+    text = "&#233;t&#xE9; &#128512;&amp;#65; &#0; &#55296; &#x110000; &#; &#99999999; &lt;"
+    assert one(text, plain_text(F.col("text"))) == "été 😀&#65; &#0; &#55296; &#x110000; &#; &#99999999; <"
+    assert one("a\nb", plain_text(F.col("text"))) == "a b"
+
+
 def test_lines_come_back_in_order(spark):
     lines = spark.createDataFrame([("d", 2, "c"), ("d", 0, "a"), ("d", 1, "b")], "doc_id STRING, pos INT, line STRING")
     assert assemble_paragraphs(lines).first().paras == ["a", "b", "c"]

@@ -40,7 +40,7 @@ def test_most_recent_with_a_dominant_key(spark):
 
 def test_parts_are_shuffled_even_where_rows_lie_by_key(spark):
     lying = spark.range(100).selectExpr("id % 3 AS k", "id").repartition(4, "k")
-    shuffles = plan(most_recent(lying, ["k"], [F.desc("id")], 20, spread_by=["id"])).count("Exchange")
+    shuffles = plan(most_recent(lying, ["k"], [F.desc("id")], 100, spread_by=["id"])).count("Exchange")
     assert shuffles == 3
 
 
