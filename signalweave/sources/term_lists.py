@@ -19,6 +19,8 @@ NONMARKET_TERMS = (
     "voluntary", "negotiations", "agreements", "public schemes", "commitments",
 )
 CONTEXT_FREE = ("GHG emissions", "green certificates", "white certificates")
+# Further market queries of the first list, also without context.
+FURTHER_MARKET_TERMS = ("GHG certificates", "energy certificates", "greenhouse gas certificates")
 CONTEXTS = (
     "climate", "carbon", "CO2", "emission", "emissions", "renewable", "renewables", "green", "energy",
     "greenhouse gas", "GHG",

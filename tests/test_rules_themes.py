@@ -16,7 +16,9 @@ from signalweave.operators.themes import add_hits, add_theme_tags, widen_hits
 from signalweave.functions.patterns import word_pattern
 from signalweave.plans.user_posts import theme_posts
 from signalweave.sources.dictionaries import and_keys, rules_of
-from signalweave.sources.term_lists import CONTEXT_FREE, CONTEXTS, MARKET_TERMS, NONMARKET_TERMS
+from signalweave.sources.term_lists import (
+    CONTEXT_FREE, CONTEXTS, FURTHER_MARKET_TERMS, MARKET_TERMS, NONMARKET_TERMS,
+)
 
 RULES = rules_of(
     [
@@ -121,9 +123,10 @@ def test_positions_on_rows(spark):
 
 
 def test_term_expansion_of_the_fixed_lists(spark):
-    rows = [("market", t) for t in MARKET_TERMS] + [("nonmarket", t) for t in NONMARKET_TERMS]
-    queries = expand_terms(spark.createDataFrame(rows, "category STRING, term STRING"), CONTEXTS, CONTEXT_FREE)
-    assert {r.category: r["count"] for r in queries.groupBy("category").count().collect()} == {"market": 289, "nonmarket": 374}
+    rows = [("market", t) for t in MARKET_TERMS + FURTHER_MARKET_TERMS] + [("nonmarket", t) for t in NONMARKET_TERMS]
+    terms = spark.createDataFrame(rows, "category STRING, term STRING")
+    queries = expand_terms(terms, CONTEXTS, CONTEXT_FREE + FURTHER_MARKET_TERMS)
+    assert {r.category: r["count"] for r in queries.groupBy("category").count().collect()} == {"market": 292, "nonmarket": 374}
 
 
 def test_category_tags(spark):
