@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from signalweave.session import shared_folder, spread_rows
@@ -72,6 +73,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def small(df: DataFrame, weight: Column | None = None, most: int = 500_000) -> DataFrame:
+    """`df`, marked for broadcast if its rows weigh no more than `most` numbers in all.
+
+    A larger table stays as it is, and Spark shuffles both sides of the join.
+    """
+    total = df.agg(F.sum(F.lit(1) if weight is None else 1 + weight)).first()[0] or 0
+    return F.broadcast(df) if total <= most else df
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """The table `documents`, dealt out to the cores if it has fewer splits than these."""
     return spread_rows(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id")

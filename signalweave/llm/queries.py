@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from signalweave.llm import pii, quality_model, quality_rules, simhash, token_counts, toxicity
+from signalweave.llm import (
+    decontaminate,
+    line_dedup,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.suffix_dedup_query,
+    "op2_decontamination": decontaminate.decontamination_query,
     "op3_personal_data": pii.personal_data_query,
     "op4_quality_rules": quality_rules.quality_rules,
+    "op5_line_dedup": line_dedup.line_dedup_query,
+    "op6_packing": packing.packing_query,
     "op7_quality_model": quality_model.quality_query,
     "op8_token_counts": token_counts.token_counts_query,
     "op9_simhash": simhash.simhash_query,
     "op10_toxicity": toxicity.toxicity_query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_decontamination": decontaminate.ORACLE,
+}

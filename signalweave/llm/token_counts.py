@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalweave.llm.frames import documents, map_texts
+from signalweave.llm.lookup import Lookup
 
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
-CACHED = 500_000
 # ASCII marks that make a pretoken of one byte after letters.
 CLOSING = {",", ".", "!", "?", ";", ":"}
 
@@ -45,10 +45,15 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(rest)) for b in range(256)]
 
 
-class MergeCounter:
-    """Counts the tokens of texts under a byte-level vocabulary file."""
+class MergeCounter(Lookup):
+    """Counts the tokens of texts under a byte-level vocabulary file.
+
+    As a dictionary it maps a word to the tokens of a blank and that word, and counts what it has
+    not seen.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         ids = spec["model"]["vocab"]
@@ -65,7 +70,6 @@ class MergeCounter:
         self._special = re.compile("|".join(map(re.escape, longest_first))) if added else None
         self._pretokens = regex.compile(PRETOKENS)
         self._loose_blank = re.compile(r"\s ")
-        self._known: dict[str, int] = {}
 
     def merged(self, pretoken: str) -> int:
         """Symbols left of one pretoken when no adjacent pair has a rank any more.
@@ -113,43 +117,29 @@ class MergeCounter:
         return left
 
     def _plain(self, text: str) -> int:
-        return sum(map(self._known_or_merged, self._pretokens.findall(text)))
-
-    def _known_or_merged(self, pretoken: str) -> int:
-        count = self._known.get(pretoken)
-        return self._remember(pretoken, self.merged(pretoken)) if count is None else count
-
-    def _word(self, word: str) -> int:
-        """Count of a blank and what follows it up to the next one."""
-        letters = word[1:]
-        if letters.isalpha():
-            count = self.merged(word)
-        elif letters[-1:] in CLOSING and letters[:-1].isalpha():
-            count = self._known_or_merged(word[:-1]) + 1
-        else:
-            count = self._plain(word)
-        return self._remember(word, count)
-
-    def _remember(self, piece: str, count: int) -> int:
-        if len(piece) < 64:
-            if len(self._known) >= CACHED:
-                self._known.clear()
-            self._known[piece] = count
-        return count
+        return sum(map(self._pretoken, self._pretokens.findall(text)))
+
+    def _pretoken(self, pretoken: str) -> int:
+        # A pretoken that begins with a blank is what a word's key stands for.
+        known = self.get(pretoken[1:]) if pretoken[0] == " " else None
+        return self.merged(pretoken) if known is None else known
+
+    def compute(self, word: str) -> int:
+        """Count of a blank and the word after it, which goes on up to the next blank."""
+        if word.isalpha():
+            return self.merged(" " + word)
+        if word[-1:] in CLOSING and word[:-1].isalpha():
+            return self[word[:-1]] + 1
+        return self._plain(" " + word)
 
     def _section(self, text: str) -> int:
         # Where white space only ever precedes a word, cutting before each blank cuts between
         # pretokens, and words can be looked up whole.  Elsewhere the pattern needs its context.
         if self._loose_blank.search(text):
             return self._plain(text)
-        first, *rest = text.split(" ")
-        known = self._known
-        total = self._plain(first)
-        for part in rest:
-            word = " " + part
-            count = known.get(word)
-            total += self._word(word) if count is None else count
-        return total
+        words = text.split(" ")
+        words[0], first = "", words[0]
+        return self._plain(first) + sum(map(self.__getitem__, words)) - self[""]
 
     def count(self, text: str) -> int:
         """Tokens of a whole text; a string of an added token counts as that one token."""
@@ -170,7 +160,7 @@ def token_counts(
     path = path or vocabulary_path()
 
     def values() -> Callable:
-        count = MergeCounter(path).count
+        count = MergeCounter.shared(path).count
 
         def columns(texts: list[bytes]):
             yield pa.array([len(t) for t in texts], pa.int64())
