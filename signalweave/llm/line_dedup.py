@@ -199,9 +199,12 @@ def dropped_lines(df: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, t
 
 
 def without_repeated_lines(
-    df: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, text: str = "text"
+    df: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, text: str = "text", counts: tuple[str, ...] = ()
 ) -> DataFrame:
-    """The rows of `df` with the text less its repeated lines, and `_lines`, `_removed`, `_near` counts.
+    """The rows of `df`, all columns, with the text less its repeated lines.
+
+    `counts` names columns to add: the lines, the lines removed, and the distinct lines removed for
+    another line that is near.
 
     A line of at least `least` characters is removed if its text has it before, if a document of a
     smaller id has it, or if another line within `edits` edits comes before it: one whose smallest id
@@ -235,20 +238,14 @@ def without_repeated_lines(
     known = computed_once(ordered, _out=removed)
     rest = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), "_out")
     kept = F.array_join(F.transform(rest, lambda i: F.element_at("_all", i + 1)), "\n")
-    return known.select(
-        *[(kept if c == own else F.col(c)).alias(f"_c{i}") for i, c in enumerate(plain.columns)],
-        F.coalesce(F.size("_all").cast("long"), F.lit(0)).alias("_lines"),
-        F.coalesce(F.size("_out").cast("long"), F.lit(0)).alias("_removed"),
-        F.coalesce("n_near", F.lit(0)).alias("_near"),
-    ).toDF(*names, "_lines", "_removed", "_near")
+    sizes = [F.when(F.col(own).isNull(), F.lit(0)).otherwise(F.size(c)).cast("long") for c in ("_all", "_out")]
+    added = [*sizes, F.coalesce("n_near", F.lit(0).cast("long"))]
+    columns = [kept if c == own else F.col(c) for c in plain.columns] + added[: len(counts)]
+    return known.select(*[c.alias(f"_c{i}") for i, c in enumerate(columns)]).toDF(*names, *counts)
 
 
 def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
-    left = without_repeated_lines(documents(spark, folder).select("doc_id", "text"))
-    return left.select(
-        "doc_id",
-        F.col("_lines").alias("n_lines"),
-        F.col("_removed").alias("n_removed"),
-        F.col("_near").alias("n_near"),
-        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
-    )
+    docs = documents(spark, folder).select("doc_id", "text")
+    left = without_repeated_lines(docs, counts=("n_lines", "n_removed", "n_near"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return left.select("doc_id", "n_lines", "n_removed", "n_near", digest.alias("kept_sha256"))

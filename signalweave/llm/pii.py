@@ -244,7 +244,9 @@ def disguised_spans(text: str) -> list[Span]:
         for m in _SPELLED_RUN.finditer(work.text):
             places = [i for i in range(*m.span()) if work.text[i].isdigit()]
             hidden = sum(int(work.end[i]) in spelled for i in places)
-            if 9 <= len(places) <= 15 and 2 * hidden >= len(places):
+            steps = {int(work.text[j]) - int(work.text[i]) for i, j in zip(places, places[1:])}
+            # Counting up or down, or saying one digit over and over, is no number.
+            if 9 <= len(places) <= 15 and 2 * hidden >= len(places) and not steps <= {1} and not steps <= {-1} and not steps <= {0}:
                 found.append(("phone", *work.source(*m.span())))
     return found
 

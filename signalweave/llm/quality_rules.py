@@ -171,3 +171,32 @@ def accepted(df: DataFrame, policy: str = CURRENT) -> DataFrame:
     plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
     entries = ledger(plain, tuple(plain.columns), f"_c{df.columns.index('text')}")
     return apply_policy(entries, policy).filter("kept").select(plain.columns).toDF(*df.columns)
+
+
+ORACLE = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS l
+  FROM documents),
+k AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS key
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+r AS (SELECT doc_id, i FROM k QUALIFY count(*) OVER (PARTITION BY doc_id, key) > 1),
+c AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM r, range(8) AS s(j) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum([length(x) for x in w]), 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words,
+         length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS letters, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals
+  FROM w LEFT JOIN c USING (doc_id)),
+b AS (
+  SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT
+         + 4 * (5 * n_symbols > n_words)::BIGINT + 8 * (10 * n_dup_lines > 6 * n_lines)::BIGINT
+         + 16 * (10 * capitals > 6 * letters)::BIGINT
+         + 32 * (word_chars < 2 * n_words OR word_chars > 25 * n_words)::BIGINT AS failures
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures
+FROM b
+"""

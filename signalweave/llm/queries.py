@@ -30,4 +30,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": decontaminate.ORACLE,
+    "op4_quality_rules": quality_rules.ORACLE,
 }
