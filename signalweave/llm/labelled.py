@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalweave.llm.frames import documents
+from signalweave.llm.frames import documents, small
 
 # Bound of the training sample (expected rows) and the number of shards that it is dealt to.
 SAMPLE_ROWS = 12_000
@@ -41,7 +41,8 @@ def training_rows(
     draw = F.pmod(F.xxhash64(F.lit(label), "doc_id"), F.lit(1_000_000))
     chosen = known.filter(draw < round(rate * 1_000_000)).select("doc_id", F.col(label).alias("label"))
     shard = F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(SHARDS)).cast("int")
-    return documents(spark, folder).select("doc_id", "text").join(chosen, "doc_id").withColumn("shard", shard)
+    texts = documents(spark, folder).select("doc_id", "text")
+    return texts.join(small(chosen), "doc_id").withColumn("shard", shard)
 
 
 def mixed(

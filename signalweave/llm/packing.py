@@ -14,7 +14,6 @@ from array import array
 from collections.abc import Iterator
 from unicodedata import is_normalized
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -180,30 +179,27 @@ def _packed(
     return kept.mapInArrow(run, f"{fields}, {FIELDS}")
 
 
-def _merge(rows: pd.DataFrame, limit: int) -> pd.DataFrame:
+def _merge(table: pa.Table, limit: int) -> pa.Table:
     """Fill sequences one after the other with the pieces of all leftover windows, cutting at their ends.
 
     What is left at the very end becomes sequences whose lengths are powers of two.
     """
-    rows = rows.sort_values(["sequence_id", "offset"], ignore_index=True)
-    total = int(rows["length"].sum())
-    whole, rest = divmod(total, limit)
-    sizes = [limit] * whole + [1 << b for b in reversed(range(rest.bit_length())) if rest >> b & 1]
-    # New sequences take the numbers of the windows that they replace, of which there are as many
-    # or more, and beyond these only powers of two, numbered between the windows' numbers.
-    numbers = iter(rows["sequence_id"].drop_duplicates().tolist())
-    last = int(rows["sequence_id"].max())
-    out, at, room, offset, number = [], -1, 0, 0, 0
-    for row in rows.to_dict("records"):
-        ids, start, left = row["ids"], int(row["start"]), int(row["length"])
+    rows = sorted(table.to_pylist(), key=lambda r: (r["sequence_id"], r["offset"]))
+    whole, rest = divmod(sum(r["length"] for r in rows), limit)
+    sizes = iter([limit] * whole + [1 << b for b in reversed(range(rest.bit_length())) if rest >> b & 1])
+    # New sequences take the numbers of the windows that they replace; should the powers of two need
+    # more, these follow the last partition's last number.
+    numbers = iter(dict.fromkeys(r["sequence_id"] for r in rows))
+    number = last = rows[-1]["sequence_id"]
+    out, room, offset = [], 0, 0
+    for row in rows:
+        ids, start, left = row["ids"], row["start"], row["length"]
         while left:
             if not room:
-                at += 1
-                room, offset = sizes[at], 0
+                room, offset = next(sizes), 0
                 number = next(numbers, None)
                 if number is None:
-                    last += 1
-                    number = last
+                    number = last = last + 1
             take = min(room, left)
             own, ids = ids[: take * ID_BYTES], ids[take * ID_BYTES :]
             out.append(row | {
@@ -211,7 +207,7 @@ def _merge(rows: pd.DataFrame, limit: int) -> pd.DataFrame:
                 "offset": offset, "ids": own, "closed": True,
             })
             start, left, room, offset = start + take, left - take, room - take, offset + take
-    return pd.DataFrame(out, columns=rows.columns)
+    return pa.Table.from_pylist(out, schema=table.schema)
 
 
 def pack(
@@ -235,7 +231,7 @@ def pack(
     names = [c for c in pieces.columns if c != "closed" and (with_ids or c != "ids")]
     block = F.shiftright(F.shiftright("sequence_id", 32), (MERGED_PARTITIONS - 1).bit_length())
     open_ = pieces.filter(~F.col("closed"))
-    merged = open_.groupBy(block).applyInPandas(lambda rows: _merge(rows, limit), pieces.schema)
+    merged = open_.groupBy(block).applyInArrow(lambda rows: _merge(rows, limit), pieces.schema)
     return pieces.filter("closed").select(names).union(merged.select(names))
 
 
