@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -68,9 +69,26 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
     Later jobs start from the files, so nothing above is computed twice or lost with an executor.
     """
-    folder = shared_folder(df.sparkSession, purpose)
+    spark = df.sparkSession
+    folder = shared_folder(spark, purpose)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove stored tables that no later step reads, and the shuffle files of finished steps.
+
+    Spark deletes a shuffle's files once the driver has collected the objects that refer to it.  A
+    driver with memory to spare may not do so for the whole of a job, hence the request.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def small(df: DataFrame, weight: Column | None = None, most: int = 500_000) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalweave.llm.frames import documents, slices, small, stored, utf8
+from signalweave.llm.frames import documents, release, slices, stored, utf8
 
 LENGTH = 200
 SEED = 40
@@ -100,8 +100,9 @@ def _seeds(df: DataFrame, length: int, seed: int) -> DataFrame:
     return df.select("_text").mapInArrow(run, "rank long")
 
 
-def repeated_filter(ranks: DataFrame) -> np.ndarray:
-    """A Bloom filter of the ranks, two bits each, in at most 2^FILTER_BITS[1] bits."""
+def bloom(values: DataFrame, name: str) -> np.ndarray:
+    """A Bloom filter of a column of 64-bit hashes, two bits each, in at most 2^FILTER_BITS[1] bits."""
+    ranks = values.select(F.col(name).alias("rank"))
     n = ranks.count()
     bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (16 * n).bit_length()))
     low = (1 << bits) - 1
@@ -125,37 +126,45 @@ def _held(table: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return held
 
 
-def _kept_runs(df: DataFrame, table: np.ndarray, length: int, seed: int) -> DataFrame:
-    """The runs whose rank passes the filter, with their bytes once per batch.
+def _chosen_runs(
+    df: DataFrame, ranks: np.ndarray, length: int, seed: int, names: np.ndarray | None = None
+) -> DataFrame:
+    """The runs whose rank passes a filter; given a filter of names `a`, the bytes of those that pass it too.
 
     `slot` is the distance of the first position to the seed.  `a` and `b` stand for slot, number of
     positions and bytes together.
     """
-    sent = df.sparkSession.sparkContext.broadcast(table)
+    sent = df.sparkSession.sparkContext.broadcast((ranks, names))
     kind = df.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "key", "start", "n", "slot", "rank", "a", "b", "bytes"]
+    columns = ["doc_id", "key", "start", "n", "slot", "rank", "a", "b", "bytes"]
+
+    def found(texts: list[bytes]) -> Iterator[tuple]:
+        ranks, names = sent.value
+        seen = set()
+        for i, own in enumerate(texts):
+            key = text_key(own)
+            for first, counts, place, rank in runs(own, length, seed):
+                chosen = np.flatnonzero(_held(ranks, rank))
+                for start, n, at, r in zip(*(x[chosen].tolist() for x in (first, counts, place, rank))):
+                    data = own[start : start + n - 1 + length]
+                    a, b = _halves(data + (at - start).to_bytes(2, "little"))
+                    if names is None:
+                        yield i, key, start, n, at - start, r, a, b, None
+                    elif (a, b) not in seen:
+                        seen.add((a, b))
+                        yield i, key, start, n, at - start, r, a, b, data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text"):
-                rows, seen, at = [], set(), []
-                for i, own in enumerate(utf8(part, "_text")):
-                    key = text_key(own)
-                    for first, counts, place, ranks in runs(own, length, seed):
-                        chosen = np.flatnonzero(_held(sent.value, ranks))
-                        some = (x[chosen].tolist() for x in (first, counts, place, ranks))
-                        for start, n, seed_at, rank in zip(*some):
-                            data = own[start : start + n - 1 + length]
-                            slot = seed_at - start
-                            a, b = _halves(data + slot.to_bytes(2, "little"))
-                            new = (a, b) not in seen
-                            seen.add((a, b))
-                            rows.append((key, start, n, slot, rank, a, b, data if new else None))
-                            at.append(i)
+                rows = list(found(utf8(part, "_text")))
+                if names is not None and rows:
+                    passed = _held(sent.value[1], np.array([r[6] for r in rows], np.int64))
+                    rows = [r for r, good in zip(rows, passed) if good]
+                at, *rest = zip(*rows) if rows else [[] for _ in columns]
                 ids = part.column("doc_id").take(pa.array(at, pa.int64()))
-                columns = list(zip(*rows)) if rows else [[] for _ in names[1:]]
-                arrays = [pa.array(c, pa.int64()) for c in columns[:-1]] + [pa.array(columns[-1], pa.binary())]
-                yield pa.RecordBatch.from_arrays([ids, *arrays], names=names)
+                arrays = [pa.array(c, pa.int64()) for c in rest[:-1]] + [pa.array(rest[-1], pa.binary())]
+                yield pa.RecordBatch.from_arrays([ids, *arrays], names=columns)
 
     schema = f"doc_id {kind}, key long, start long, n long, slot long, rank long, a long, b long, bytes binary"
     return df.select("doc_id", "_text").mapInArrow(run, schema)
@@ -212,26 +221,30 @@ def _ranked(cells: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _settled_parts(open_runs: DataFrame, length: int, seed: int) -> DataFrame:
-    """`of_a`, `of_b`, `at`, `n`: the repeated positions of runs of which there is one, by rounds of cutting."""
+    """`a`, `b`, `at`, `n`: the repeated positions of runs of which there is one, by rounds of cutting."""
+    spark = open_runs.sparkSession
     size = length - seed + 1
-    found = open_runs.filter("false").select("of_a", "of_b", "at", "n")
-    rows = open_runs
+    found = open_runs.filter("false").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"), "at", "n")
+    rows, done = open_runs, []
     while size > 1:
         size = -(-size // CUT)
         cells = stored(_cells(rows, size, length), "suffix-cells")
         equal, going = _ranked(cells, "suffix-ranks")
-        both = cells.drop("rank").join(equal, ["a", "b"])
-        found = found.union(both.filter("open AND copies > 1").select("of_a", "of_b", "at", "n"))
-        if size == 1:
-            break
-        left = going.select("a", "b", (F.col("copies") == 1).alias("single"))
-        rows = cells.join(left, ["a", "b"]).withColumn("open", F.col("open") & F.col("single"))
-        # Of equal cells one is enough to compare with.
-        closed = rows.filter("NOT single").dropDuplicates(["a", "b"])
-        rows = stored(rows.filter("single").unionByName(closed).drop("single"), "suffix-rows")
+        twice = equal.filter("copies > 1").select("a", "b")
+        repeated = cells.filter("open").join(twice, ["a", "b"]).select("of_a", "of_b", "at", "n")
+        found = found.union(stored(repeated, "suffix-parts"))
+        if size > 1:
+            left = going.select("a", "b", (F.col("copies") == 1).alias("single"))
+            going_on = cells.join(left, ["a", "b"]).withColumn("open", F.col("open") & F.col("single"))
+            # Of equal cells one is enough to compare with.
+            closed = going_on.filter("NOT single").dropDuplicates(["a", "b"])
+            last = rows
+            rows = stored(going_on.filter("single").unionByName(closed).drop("single"), "suffix-rows")
+            release(spark, last)
+        release(spark, cells, equal)
         if rows.isEmpty():
             break
-    return stored(found, "suffix-parts")
+    return found
 
 
 def repeated_spans(df: DataFrame, length: int = LENGTH, seed: int = SEED, text: str = "text") -> DataFrame:
@@ -242,23 +255,30 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, seed: int = SEED, text:
     if seed % 8 or seed > length:
         raise ValueError("seeds are a multiple of 8 bytes and no longer than the string")
     plain = df.select(df["doc_id"], df[text].alias("_text"))
+    spark = df.sparkSession
     ranks = _seeds(plain, length, seed).groupBy("rank").agg(F.count(F.lit(1)).alias("n"))
-    ranks = stored(ranks.filter("n > 1").select("rank"), "suffix-seeds")
-    kept = stored(_kept_runs(plain, repeated_filter(ranks), length, seed), "suffix-runs")
+    repeated = bloom(stored(ranks.filter("n > 1").select("rank"), "suffix-seeds"), "rank")
+    # Three passes over the texts: the seeds, the names of runs of repeated seeds, and the bytes of
+    # those runs that are neither unique nor settled.  Only what the last needs travels as bytes.
+    kept = stored(_chosen_runs(plain, repeated, length, seed).drop("bytes"), "suffix-runs")
+    release(spark)
     equal, going = _ranked(kept, "suffix-ranks")
-    data = kept.filter("bytes IS NOT NULL").select("a", "b", "n", "slot", "bytes").dropDuplicates(["a", "b"])
+    going = stored(going.select("a", "b", (F.col("copies") == 1).alias("open")), "suffix-going")
+    data = _chosen_runs(plain, repeated, length, seed, bloom(going, "a")).dropDuplicates(["a", "b"])
     first = going.join(data, ["a", "b"]).select(
-        F.col("a").alias("of_a"), F.col("b").alias("of_b"), (F.col("copies") == 1).alias("open"),
-        F.lit(0).cast("long").alias("at"), "n", "slot", "bytes",
-    )
-    parts = _settled_parts(stored(first, "suffix-rows"), length, seed)
+        F.col("a").alias("of_a"), F.col("b").alias("of_b"), "open", F.lit(0).cast("long").alias("at"), "n", "slot", "bytes"
+    )
+    first = stored(first, "suffix-rows")
+    release(spark)
+    whole = equal.filter("copies > 1").select("a", "b", F.lit(0).cast("long").alias("at"), F.lit(None).cast("long").alias("part"))
+    parts = _settled_parts(first, length, seed).select("a", "b", "at", F.col("n").alias("part"))
+    status = stored(whole.union(parts), "suffix-status")
     places = kept.select("doc_id", "key", "start", "n", "a", "b")
-    many = stored(equal.filter("copies > 1").select("a", "b"), "suffix-whole")
-    whole = places.join(many, ["a", "b"]).select("doc_id", "key", "start", "n")
-    part = parts.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"), "at", "n")
-    some = places.drop("n").join(part, ["a", "b"]).select("doc_id", "key", F.expr("start + at AS start"), "n")
+    ranges = places.join(status, ["a", "b"]).select(
+        "doc_id", "key", (F.col("start") + F.col("at")).alias("start"), F.coalesce("part", "n").alias("n")
+    )
     packed = F.col("start") * (1 << 16) + F.col("n")
-    listed = whole.union(some).groupBy("doc_id", "key").agg(F.collect_set(packed).alias("packed"))
+    listed = ranges.groupBy("doc_id", "key").agg(F.collect_set(packed).alias("packed"))
     kind = df.schema["doc_id"].dataType.simpleString()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +312,8 @@ def without_repeats(df: DataFrame, length: int = LENGTH, seed: int = SEED, text:
         "key", F.crc32(F.coalesce("_text", F.lit("")).cast("binary"))
     )
     found = stored(repeated_spans(df, length, seed, text), "suffix-spans")
-    found = small(found, F.size("spans")).select(F.col("doc_id").alias("of"), F.col("key").alias("of_key"), "spans")
+    release(df.sparkSession)
+    found = found.select(F.col("doc_id").alias("of"), F.col("key").alias("of_key"), "spans")
     same = checked["doc_id"].eqNullSafe(found["of"]) & (checked["key"] == found["of_key"])
     kind = df.schema["doc_id"].dataType.simpleString()
 
