@@ -143,8 +143,8 @@ _SIGN = "|".join(SIGN_NAMES)
 _DOT_NAME = "(?:dot|punkt|point|punto)"
 _AT_NAME = "(?:at|arroba|arobase)"
 # Digit names stand in runs; single ones are ordinary words.
-_LINK = rf"(?:[\s,.-]{{1,3}}|[\s,.-]*\b(?:{_SIGN})\b[\s,.-]*)"
-_PAIR = re.compile(rf"\b(?:{_NAME})[\s,.-]{{1,3}}(?:{_NAME}|{_SIGN}|[0-9])")
+_LINK = rf"(?:[\s,.()-]{{1,4}}|[\s,.()-]*\b(?:{_SIGN})\b[\s,.()-]*)"
+_PAIR = re.compile(rf"\b(?:{_NAME})[\s,.()-]{{1,4}}(?:{_NAME}|{_SIGN}|[0-9])")
 _NAMES = re.compile(rf"(?i)\b(?:{_NAME})(?:{_LINK}(?:{_NAME}|[0-9]+)\b){{3,}}")
 _ONE_NAME = re.compile(rf"(?i)\b(?:{_NAME}|{_SIGN})\b")
 _PLUS = re.compile(r"(?i)\bplus[\s-]+(?=[0-9])")
@@ -161,7 +161,7 @@ _AT_WORDS = re.compile(
 _DOT_WORDS = re.compile(rf"(?i)\s+{_DOT_NAME}\s+|\s*\.\s*")
 _AT_HINT = re.compile(rf"[\[({{<_-]\s*(?:{_AT_NAME}|@)\s*[\])}}>_-]|\s{_AT_NAME}\s+[a-z0-9-]+(?:\s+{_DOT_NAME}\s|\.[a-z0-9])|\s@|@\s")
 _MIXED = re.compile(r"(?<=[0-9])[OoIl](?=[ ().-]{0,3}[0-9])|(?<=[0-9][ ().-])[OoIl](?=[0-9])")
-_SPELLED_RUN = re.compile(r"[0-9](?:[ ,.-]{0,3}[0-9])+")
+_SPELLED_RUN = re.compile(r"[0-9](?:[ ,.()-]{0,4}[0-9])+")
 
 
 def plain_letters(work: Rewritten) -> None:
