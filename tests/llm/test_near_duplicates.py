@@ -130,7 +130,7 @@ def edited(draw, text, edits, letters="abé😀"):
     return "".join(out)
 
 
-@pytest.mark.parametrize("edits", [1, 2, 3])
+@pytest.mark.parametrize("edits", [1, 2])
 def test_banded_distance_and_segments(spark, edits):
     draw = random.Random(edits)
     rows = []
@@ -146,7 +146,16 @@ def test_banded_distance_and_segments(spark, edits):
     meet = F.arrays_overlap(
         line_dedup.index_keys(short, F.char_length(short), edits), line_dedup.probe_keys(long, F.char_length(long), edits)
     )
-    assert df.filter(F.col("d") <= edits).filter(~meet).count() == 0
+    near = df.filter((F.col("d") <= edits) & (F.col("a") != F.col("b")))
+    assert near.filter(~meet).count() == 0
+    named = near.withColumnsRenamed({"a": "a_line", "b": "b_line"})
+    assert line_dedup._likely(named, edits).count() == near.count()
+    # Finer keys need segments of a character at least to say anything; they hold for all lengths.
+    finer = F.arrays_overlap(
+        line_dedup.finer_index_keys(short, F.char_length(short), edits),
+        line_dedup.finer_probe_keys(long, F.char_length(long), edits),
+    )
+    assert near.filter(~finer).count() == 0
 
 
 def plain_line_dedup(rows, edits, least):
@@ -173,7 +182,9 @@ def plain_line_dedup(rows, edits, least):
     return out
 
 
-def test_line_dedup_equals_brute_force(make, empty):
+@pytest.mark.parametrize("crowded", [16, 0])
+def test_line_dedup_equals_brute_force(make, empty, crowded, monkeypatch):
+    monkeypatch.setattr(line_dedup, "CROWDED", crowded)
     draw = random.Random(8)
     base = ["".join(draw.choice("abcdé ") for _ in range(draw.randint(6, 30))) for _ in range(40)]
     rows = []
@@ -229,7 +240,7 @@ def passages():
         return " ".join(draw.choice(words) for _ in range(n))
 
     base, texts = [prose(80) for _ in range(10)], []
-    for _ in range(100):
+    for _ in range(70):
         kind = draw.random()
         if kind < 0.1:
             texts.append(draw.choice(base))
@@ -245,7 +256,7 @@ def passages():
     return [*texts, "", texts[3], texts[3], None]
 
 
-@pytest.mark.parametrize(("length", "seed"), [(200, 40), (48, 16), (8, 8)])
+@pytest.mark.parametrize(("length", "seed"), [(200, 40), (8, 8)])
 def test_passages_equal_brute_force(make, passages, length, seed, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 300)
     df = make([(None if i % 9 == 0 else i // 2, t) for i, t in enumerate(passages)])
