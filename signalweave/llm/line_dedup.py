@@ -3,7 +3,8 @@
 Two lines within `edits` edits of each other: cut the shorter into edits + 1 segments, and at least
 one of them is in the longer line unchanged, moved by no more than the edits before and after it
 allow.  Lines are indexed by their length and segments; a line probes, for each length it may match,
-the few substrings that can be such a segment.  Pairs that meet are verified by an edit distance
+the few substrings that can be such a segment.  Lines of a segment that many share meet on finer
+keys instead: of edits + 3 segments all but some `edits` agree.  Pairs that meet are verified by an edit distance
 that runs over a band around the diagonal, with the band's cells as bits of one number.
 
 A line stays if no line before it is equal or within the edits.  Lines are ordered by the smallest
@@ -12,6 +13,8 @@ id of a document that has them, then by their text.
 
 from __future__ import annotations
 
+from itertools import combinations, product
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,11 @@ LEAST_CHARS = 30
 # A line in more than one of so many of all line occurrences is frequent; there are no more such lines.
 FREQUENT = 10_000
 
+# A segment that more lines share is crowded: its lines are compared by finer keys.
+CROWDED = 16
+# Segments for these keys, beyond the number of edits.
+FINER = 3
+
 LAST_ID = (1 << 63) - 1
 
 
@@ -40,13 +48,13 @@ def _lines(df: DataFrame, text: str, least: int) -> DataFrame:
     return explode_once(source.select("id", F.col(text)), "line", long).select("id", "line", *_key("line"))
 
 
-def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
+def _segments(length: Column, parts: int) -> list[tuple[Column, Column]]:
     """Start (from 1) and size of each segment of a line of `length` characters; later ones take the rest."""
-    base, rest = F.floor(length / (edits + 1)).cast("int"), F.pmod(length, F.lit(edits + 1)).cast("int")
+    base, rest = F.floor(length / parts).cast("int"), F.pmod(length, F.lit(parts)).cast("int")
     found = []
-    for i in range(edits + 1):
-        longer = F.greatest(F.lit(0), i - (edits + 1 - rest))
-        size = base + F.when(F.lit(i) >= edits + 1 - rest, 1).otherwise(0)
+    for i in range(parts):
+        longer = F.greatest(F.lit(0), i - (parts - rest))
+        size = base + F.when(F.lit(i) >= parts - rest, 1).otherwise(0)
         found.append((i * base + longer + 1, size))
     return found
 
@@ -59,7 +67,7 @@ def index_keys(line: Column, length: Column, edits: int) -> Column:
     """One key per segment of the line."""
     return F.array(*[
         _entry(length, i, F.substring(line, start, size))
-        for i, (start, size) in enumerate(_segments(length, edits))
+        for i, (start, size) in enumerate(_segments(length, edits + 1))
     ])
 
 
@@ -71,12 +79,76 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
     keys = []
     for less in range(edits + 1):
         other = length - less
-        for i, (start, size) in enumerate(_segments(other, edits)):
+        for i, (start, size) in enumerate(_segments(other, edits + 1)):
             for move in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
                 keys.append(_entry(other, i, F.substring(line, start + move, size)))
     return F.array(*keys)
 
 
+def _patterns(edits: int, moves) -> list[tuple[int, int, list[tuple[int, int, int]]]]:
+    """All ways to leave out `edits` of edits + FINER segments: a number for the way, by how much the other
+    line is shorter, and first segment, last segment and move of each stretch between those left out.
+
+    `moves(less, n)` gives the places by which a stretch with n segments left out before it may move.
+    """
+    parts = edits + FINER
+    found = []
+    for kind, out in enumerate(combinations(range(parts), edits)):
+        ends = [-1, *out, parts]
+        stretches = [(a + 1, b - 1, n) for n, (a, b) in enumerate(zip(ends, ends[1:])) if b - a > 1]
+        for less in range(edits + 1):
+            for shift in product(*(moves(less, n) for _, _, n in stretches)):
+                found.append((kind, less, [(a, b, move) for (a, b, _), move in zip(stretches, shift)]))
+    return found
+
+
+def _finer_keys(line: Column, length: Column, edits: int, patterns: list) -> Column:
+    """A key per pattern: the stretches of the line that another line has if it differs in the rest only."""
+    parts = edits + FINER
+
+    table = F.array(*[
+        F.struct(
+            F.lit(kind).alias("kind"),
+            F.lit(less).alias("less"),
+            F.array(*[
+                F.struct(F.lit(a).alias("first"), F.lit(b).alias("last"), F.lit(move).alias("move"))
+                for a, b, move in stretches
+            ]).alias("stretches"),
+        )
+        for kind, less, stretches in patterns
+    ])
+
+    def key(p: Column) -> Column:
+        other = length - p["less"]
+        base, rest = F.floor(other / parts).cast("int"), F.pmod(other, F.lit(parts)).cast("int")
+
+        def begin(i: Column) -> Column:
+            return i * base + F.greatest(F.lit(0), i - (parts - rest)) + 1
+
+        pieces = F.transform(
+            p["stretches"],
+            lambda s: F.substring(line, begin(s["first"]) + s["move"], begin(s["last"] + 1) - begin(s["first"])),
+        )
+        return F.xxhash64(other, p["kind"], pieces)
+
+    return F.transform(table, key)
+
+
+def finer_index_keys(line: Column, length: Column, edits: int) -> Column:
+    patterns = _patterns(edits, lambda less, n: [0])
+    return _finer_keys(line, length, edits, [p for p in patterns if p[1] == 0])
+
+
+def finer_probe_keys(line: Column, length: Column, edits: int) -> Column:
+    """As many keys as there are ways for a line as long as this, or shorter, to differ in `edits` segments."""
+
+    def moves(less: int, n: int) -> list[int]:
+        # n edits at most lie before the stretch, and edits - n after it.
+        return [m for m in range(-n, n + 1) if abs(m) + abs(less - m) <= edits and abs(less - m) <= edits - n]
+
+    return _finer_keys(line, length, edits, _patterns(edits, moves))
+
+
 def edit_distances(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
     """Add `edits_apart`: the edit distance of the strings `a` and `b` if it is at most `edits`, else more.
 
@@ -157,15 +229,32 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
     often = table.filter(F.col("n") * FREQUENT > total).select("h", "g", "first")
     some = lines.join(F.broadcast(often), ["h", "g"], "left").filter("first IS NULL OR first = id")
 
-    def keyed(keys: Column, name: str) -> DataFrame:
-        rows = some.select(F.col("h").alias(name), F.explode(keys).alias("key"))
+    def keyed(lines: DataFrame, keys: Column, name: str) -> DataFrame:
+        rows = lines.select(F.col("h").alias(name), F.explode(keys).alias("key"))
         # Copies of a line meet here and become one before lines meet each other.
         return rows.repartition("key").dropDuplicates(["key", name])
 
     line, size = F.col("line"), F.col("size")
-    meet = keyed(index_keys(line, size, edits), "a").join(keyed(probe_keys(line, size, edits), "b"), "key")
+    index = keyed(some, index_keys(line, size, edits), "a")
+    probe = keyed(some, probe_keys(line, size, edits), "b")
+    # One job over one shuffle: pairs where few lines share a segment, so that a line has a bounded
+    # number of them, and the lines by themselves where many do.
+    shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("sharing"))
+    crowded, none = shared.filter(F.col("sharing") > CROWDED), F.lit(None).cast("long")
+    meet = (
+        index.join(shared.filter(F.col("sharing") <= CROWDED), "key").join(probe, "key").filter("a != b").select("a", "b")
+        .union(index.join(crowded, "key", "left_semi").select("a", none))
+        .union(probe.join(crowded, "key", "left_semi").select("b", none))
+    )
+    meet = stored(meet.select(F.least("a", "b").alias("a"), F.when(F.col("b").isNotNull(), F.greatest("a", "b")).alias("b")).distinct(), "line-meetings")
+    pairs = meet.filter("b IS NOT NULL")
+    close = some.join(small(meet.filter("b IS NULL").select(F.col("a").alias("h"))), "h", "left_semi")
+    close = stored(close.select("h", "line", "size"), "line-close")
+    finer = keyed(close, finer_index_keys(line, size, edits), "a").join(
+        keyed(close, finer_probe_keys(line, size, edits), "b"), "key"
+    )
     pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    pairs = stored(meet.filter("a != b").select(*pair).distinct(), "line-pairs")
+    pairs = stored(pairs.union(finer.filter("a != b").select(*pair)).distinct(), "line-pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "line-wanted")
     texts = some.join(small(wanted), "h", "left_semi").select("h", "g", "line").distinct()
     texts = stored(texts.join(table.select("h", "g", F.col("first").alias("since")), ["h", "g"]), "line-texts")
@@ -249,3 +338,32 @@ def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     left = without_repeated_lines(docs, counts=("n_lines", "n_removed", "n_near"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return left.select("doc_id", "n_lines", "n_removed", "n_near", digest.alias("kept_sha256"))
+
+
+# The distance function of SQL counts bytes, so letters of two bytes are first given one each.
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(doc_id, 9223372036854775807) AS id, string_split(text, chr(10)) AS l FROM documents),
+p AS (SELECT doc_id, id, i, l[i] AS line FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM d)),
+o AS (SELECT DISTINCT id, line FROM p WHERE length(line) >= 30),
+t AS (
+  SELECT line, min(id) AS since, length(line) AS n,
+         translate(line, 'äöüßàâçéèêëîôûùñáíóúÄÖÜÇÉÈÊÑÍÓ', array_to_string([chr(x::INTEGER) for x in range(1, 32) if x <> 10], '')) AS flat
+  FROM o GROUP BY line),
+near AS (
+  SELECT DISTINCT b.line FROM (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM t) AS a JOIN t AS b ON a.m = b.n
+  WHERE (a.since < b.since OR (a.since = b.since AND a.line < b.line)) AND levenshtein(a.flat, b.flat) <= 2),
+m AS (SELECT t.line, since, near.line IS NOT NULL AS near FROM t LEFT JOIN near USING (line)),
+r AS (
+  SELECT doc_id, p.id, i, line,
+         m.line IS NOT NULL AND (near OR since < p.id OR row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1) AS gone
+  FROM p LEFT JOIN m USING (line)),
+s AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+         string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
+  FROM r GROUP BY doc_id),
+c AS (SELECT id, count(*) AS n FROM o JOIN m USING (line) WHERE near GROUP BY id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(c.n, 0) AS n_near,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id) LEFT JOIN c USING (id)
+"""

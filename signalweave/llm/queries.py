@@ -31,4 +31,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op2_decontamination": decontaminate.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
+    "op5_line_dedup": line_dedup.ORACLE,
 }
