@@ -217,6 +217,21 @@ def edit_distances(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
     return matched.withColumn("edits_apart", apart).drop("_letters", "_chars", "_rows", "_equal")
 
 
+def _likely(pairs: DataFrame, edits: int) -> DataFrame:
+    """The pairs of `a_line` and `b_line` that also agree on one of the finer keys, as all near ones do."""
+    longer = F.char_length("a_line") >= F.char_length("b_line")
+    ordered = computed_once(
+        pairs,
+        _long=F.when(longer, F.col("a_line")).otherwise(F.col("b_line")),
+        _short=F.when(longer, F.col("b_line")).otherwise(F.col("a_line")),
+    )
+    meet = F.arrays_overlap(
+        finer_index_keys(F.col("_short"), F.char_length("_short"), edits),
+        finer_probe_keys(F.col("_long"), F.char_length("_long"), edits),
+    )
+    return ordered.filter(meet).drop("_long", "_short")
+
+
 def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: int, text: str) -> DataFrame:
     """`h`, `g` of the lines that have a line before them within the edits.
 
@@ -261,7 +276,7 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
     one = texts.select(F.col("h").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("h", "g", "line", "since")])
     two = texts.select(F.col("h").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("h", "g", "line", "since")])
     both = pairs.join(one, "a").join(two, "b")
-    both = both.filter(F.abs(F.char_length("a_line") - F.char_length("b_line")) <= edits)
+    both = _likely(both.filter(F.abs(F.char_length("a_line") - F.char_length("b_line")) <= edits), edits)
     near = edit_distances(both, "a_line", "b_line", edits).filter(F.col("edits_apart") <= edits)
     a_first = F.expr("a_since < b_since OR (a_since = b_since AND a_line < b_line)")
     later = F.when(a_first, F.struct(F.col("b_h").alias("h"), F.col("b_g").alias("g"))).otherwise(
