@@ -321,7 +321,7 @@ def without_repeated_lines(
     own, doc = f"_c{names.index(text)}", f"_c{names.index('doc_id')}"
     lost = stored(dropped_lines(df.select("doc_id", F.col(text).alias("text")), edits, least), "line-dropped")
     ident = F.coalesce(plain[doc].cast("long"), F.lit(LAST_ID))
-    joined = plain.withColumn("id", ident).join(small(lost, F.size("gone")), "id", "left")
+    joined = plain.withColumn("id", ident).join(lost, "id", "left")
     split = computed_once(joined, _all=F.split(F.col(own), "\n", -1))
 
     def entry(x: Column, i: Column) -> Column:
