@@ -297,9 +297,9 @@ def dropped_lines(df: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, t
         "h", "g", "first", F.coalesce("near", F.lit(False)).alias("near")
     )
     # Both sides are scans, so that Spark can split the places of a line that is everywhere.
-    found = places.join(stored(marked, "line-marked"), ["h", "g"]).filter("near OR first < id").distinct()
-    gone = F.collect_set(F.struct("h", "g")).alias("gone")
-    return found.groupBy("id").agg(gone, F.sum(F.col("near").cast("long")).alias("n_near"))
+    found = places.join(stored(marked, "line-marked"), ["h", "g"]).filter("near OR first < id")
+    gone = found.groupBy("id").agg(F.collect_set(F.struct("h", "g", "near")).alias("gone"))
+    return gone.withColumn("n_near", F.size(F.filter("gone", lambda k: k["near"])).cast("long"))
 
 
 def without_repeated_lines(
