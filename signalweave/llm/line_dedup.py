@@ -4,7 +4,7 @@ Two lines within `edits` edits of each other: cut the shorter into edits + 1 seg
 one of them is in the longer line unchanged, moved by no more than the edits before and after it
 allow.  Lines are indexed by their length and segments; a line probes, for each length it may match,
 the few substrings that can be such a segment.  Lines of a segment that many share meet on finer
-keys instead: of edits + 3 segments all but some `edits` agree.  Pairs that meet are verified by an edit distance
+keys instead: of many short segments all but `edits` agree.  Pairs that meet are verified by an edit distance
 that runs over a band around the diagonal, with the band's cells as bits of one number.
 
 A line stays if no line before it is equal or within the edits.  Lines are ordered by the smallest
@@ -13,6 +13,7 @@ id of a document that has them, then by their text.
 
 from __future__ import annotations
 
+import json
 from itertools import combinations, product
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,7 @@ FREQUENT = 10_000
 # A segment that more lines share is crowded: its lines are compared by finer keys.
 CROWDED = 16
 # Segments for these keys, beyond the number of edits.
-FINER = 3
+FINER = 10
 
 LAST_ID = (1 << 63) - 1
 
@@ -106,17 +107,12 @@ def _finer_keys(line: Column, length: Column, edits: int, patterns: list) -> Col
     """A key per pattern: the stretches of the line that another line has if it differs in the rest only."""
     parts = edits + FINER
 
-    table = F.array(*[
-        F.struct(
-            F.lit(kind).alias("kind"),
-            F.lit(less).alias("less"),
-            F.array(*[
-                F.struct(F.lit(a).alias("first"), F.lit(b).alias("last"), F.lit(move).alias("move"))
-                for a, b, move in stretches
-            ]).alias("stretches"),
-        )
+    rows = [
+        {"kind": kind, "less": less, "stretches": [dict(zip(("first", "last", "move"), x)) for x in stretches]}
         for kind, less, stretches in patterns
-    ])
+    ]
+    shape = "array<struct<kind: int, less: int, stretches: array<struct<first: int, last: int, move: int>>>>"
+    table = F.from_json(F.lit(json.dumps(rows)), shape)
 
     def key(p: Column) -> Column:
         other = length - p["less"]
@@ -217,19 +213,39 @@ def edit_distances(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
     return matched.withColumn("edits_apart", apart).drop("_letters", "_chars", "_rows", "_equal")
 
 
+def _same_start(a: str, b: str, most: Column) -> Column:
+    """Characters that two strings share at their start, up to `most`: a search by halving steps."""
+    high = F.floor(F.log2(F.greatest(most, F.lit(1)))).cast("int")
+    steps = F.transform(F.sequence(F.lit(0), high), lambda i: F.call_function("shiftleft", F.lit(1), high - i))
+
+    def longer(known: Column, step: Column) -> Column:
+        equal = F.substring(F.col(a), known + 1, step) == F.substring(F.col(b), known + 1, step)
+        return F.when((known + step <= most) & equal, known + step).otherwise(known)
+
+    return F.aggregate(steps, F.lit(0), longer)
+
+
 def _likely(pairs: DataFrame, edits: int) -> DataFrame:
-    """The pairs of `a_line` and `b_line` that also agree on one of the finer keys, as all near ones do."""
-    longer = F.char_length("a_line") >= F.char_length("b_line")
-    ordered = computed_once(
-        pairs,
-        _long=F.when(longer, F.col("a_line")).otherwise(F.col("b_line")),
-        _short=F.when(longer, F.col("b_line")).otherwise(F.col("a_line")),
-    )
-    meet = F.arrays_overlap(
-        finer_index_keys(F.col("_short"), F.char_length("_short"), edits),
-        finer_probe_keys(F.col("_long"), F.char_length("_long"), edits),
-    )
-    return ordered.filter(meet).drop("_long", "_short")
+    """Leave out pairs of `a_line` and `b_line` that cannot be within the edits, by their differing middles.
+
+    Without what they share at the start and the end, two lines begin and end with an edit.  One or
+    two edits are then used up, and what lies between the ends is equal.  For more edits all pairs stay.
+    """
+    if edits > 2:
+        return pairs
+    sizes = {"_m": F.char_length("a_line"), "_n": F.char_length("b_line")}
+    back = computed_once(pairs, _ra=F.reverse("a_line"), _rb=F.reverse("b_line"), **sizes)
+    start = computed_once(back, _p=_same_start("a_line", "b_line", F.least("_m", "_n")))
+    both = computed_once(start, _q=_same_start("_ra", "_rb", F.least("_m", "_n") - F.col("_p")))
+    m, n = F.col("_m") - F.col("_p") - F.col("_q"), F.col("_n") - F.col("_p") - F.col("_q")
+    likely = (m <= 1) & (n <= 1)
+    if edits == 2:
+        # What an edit takes from either line: a character each, or one of one of them.
+        for (a0, b0), (a1, b1) in product(((1, 1), (1, 0), (0, 1)), repeat=2):
+            size = m - (a0 + a1)
+            inner = [F.substring(F.col(c), F.col("_p") + 1 + cut, size) for c, cut in (("a_line", a0), ("b_line", b0))]
+            likely = likely | ((size >= 0) & (size == n - (b0 + b1)) & (inner[0] == inner[1]))
+    return both.filter(likely).drop("_ra", "_rb", "_m", "_n", "_p", "_q")
 
 
 def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: int, text: str) -> DataFrame:
@@ -264,7 +280,8 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
     meet = stored(meet.select(F.least("a", "b").alias("a"), F.when(F.col("b").isNotNull(), F.greatest("a", "b")).alias("b")).distinct(), "line-meetings")
     pairs = meet.filter("b IS NOT NULL")
     close = some.join(small(meet.filter("b IS NULL").select(F.col("a").alias("h"))), "h", "left_semi")
-    close = stored(close.select("h", "line", "size"), "line-close")
+    close = stored(close.select("h", "line", "size").repartition("h").distinct(), "line-close")
+    close = close.repartition("h")
     finer = keyed(close, finer_index_keys(line, size, edits), "a").join(
         keyed(close, finer_probe_keys(line, size, edits), "b"), "key"
     )
