@@ -64,10 +64,18 @@ def _entry(length: Column, i: int, piece: Column) -> Column:
     return F.xxhash64(length, F.lit(i), piece)
 
 
+def _keyed(key: Column, less: Column | int, first: Column | None = None, last: Column | None = None) -> Column:
+    """A key, by how much the other line is shorter, and what stands where the lines must differ, if that is known."""
+    none = F.lit(None).cast("long")
+    less = F.lit(less) if isinstance(less, int) else less
+    first, last = (none if c is None else c for c in (first, last))
+    return F.struct(key.alias("key"), less.alias("less"), first.alias("x"), last.alias("y"))
+
+
 def index_keys(line: Column, length: Column, edits: int) -> Column:
     """One key per segment of the line."""
     return F.array(*[
-        _entry(length, i, F.substring(line, start, size))
+        _keyed(_entry(length, i, F.substring(line, start, size)), 0)
         for i, (start, size) in enumerate(_segments(length, edits + 1))
     ])
 
@@ -82,7 +90,7 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
         other = length - less
         for i, (start, size) in enumerate(_segments(other, edits + 1)):
             for move in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                keys.append(_entry(other, i, F.substring(line, start + move, size)))
+                keys.append(_keyed(_entry(other, i, F.substring(line, start + move, size)), less))
     return F.array(*keys)
 
 
@@ -107,11 +115,20 @@ def _finer_keys(line: Column, length: Column, edits: int, patterns: list) -> Col
     """A key per pattern: the stretches of the line that another line has if it differs in the rest only."""
     parts = edits + FINER
 
-    rows = [
-        {"kind": kind, "less": less, "stretches": [dict(zip(("first", "last", "move"), x)) for x in stretches]}
-        for kind, less, stretches in patterns
-    ]
-    shape = "array<struct<kind: int, less: int, stretches: array<struct<first: int, last: int, move: int>>>>"
+    left_out = list(combinations(range(parts), edits))
+    rows = []
+    for kind, less, stretches in patterns:
+        one, two = left_out[kind][0], left_out[kind][-1]
+        # Which stretch, counted from 1, lies between two segments that are left out; 0 for none.
+        between = [n for n, (a, _, _) in enumerate(stretches, 1) if one < a < two]
+        rows.append({
+            "kind": kind, "less": less, "one": one, "two": two, "middle": between[0] if between else 0,
+            "stretches": [dict(zip(("first", "last", "move"), x)) for x in stretches],
+        })
+    shape = (
+        "array<struct<kind: int, less: int, one: int, two: int, middle: int,"
+        " stretches: array<struct<first: int, last: int, move: int>>>>"
+    )
     table = F.from_json(F.lit(json.dumps(rows)), shape)
 
     def key(p: Column) -> Column:
@@ -125,7 +142,17 @@ def _finer_keys(line: Column, length: Column, edits: int, patterns: list) -> Col
             p["stretches"],
             lambda s: F.substring(line, begin(s["first"]) + s["move"], begin(s["last"] + 1) - begin(s["first"])),
         )
-        return F.xxhash64(other, p["kind"], pieces)
+        hashed = F.xxhash64(other, p["kind"], pieces)
+        if edits != 2:
+            return _keyed(hashed, p["less"])
+        # With two segments left out that do not touch, lines that differ in one of them only meet on
+        # other keys.  Here both must differ, and their contents travel with the key to tell.
+        moved = F.element_at(p["stretches"], F.greatest(p["middle"], F.lit(1)))["move"]
+        i, j = p["one"], p["two"]
+        first = F.substring(line, begin(i), begin(i + 1) + moved - begin(i))
+        last = F.substring(line, begin(j) + moved, begin(j + 1) + p["less"] - begin(j) - moved)
+        apart = p["middle"] > 0
+        return _keyed(hashed, p["less"], F.when(apart, F.xxhash64(first)), F.when(apart, F.xxhash64(last)))
 
     return F.transform(table, key)
 
@@ -261,9 +288,10 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
     some = lines.join(F.broadcast(often), ["h", "g"], "left").filter("first IS NULL OR first = id")
 
     def keyed(lines: DataFrame, keys: Column, name: str) -> DataFrame:
-        rows = lines.select(F.col("h").alias(name), F.explode(keys).alias("key"))
+        rows = lines.select(F.col("h").alias(name), F.explode(keys).alias("k"))
+        fields = [F.col(f"k.{f}").alias(f if f == "key" else f"{name}_{f}") for f in ("key", "less", "x", "y")]
         # Copies of a line meet here and become one before lines meet each other.
-        return rows.repartition("key").dropDuplicates(["key", name])
+        return rows.select(name, *fields).repartition("key").distinct()
 
     line, size = F.col("line"), F.col("size")
     index = keyed(some, index_keys(line, size, edits), "a")
@@ -272,8 +300,10 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
     # number of them, and the lines by themselves where many do.
     shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("sharing"))
     crowded, none = shared.filter(F.col("sharing") > CROWDED), F.lit(None).cast("long")
+    # Lines of one length meet twice, either being the one that probes; once is enough.
+    other = "a != b AND (b_less > 0 OR a < b)"
     meet = (
-        index.join(shared.filter(F.col("sharing") <= CROWDED), "key").join(probe, "key").filter("a != b").select("a", "b")
+        index.join(shared.filter(F.col("sharing") <= CROWDED), "key").join(probe, "key").filter(other).select("a", "b")
         .union(index.join(crowded, "key", "left_semi").select("a", none))
         .union(probe.join(crowded, "key", "left_semi").select("b", none))
     )
@@ -286,7 +316,8 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
         keyed(close, finer_probe_keys(line, size, edits), "b"), "key"
     )
     pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    pairs = stored(pairs.union(finer.filter("a != b").select(*pair)).distinct(), "line-pairs")
+    differ = f"{other} AND (a_x IS NULL OR (a_x != b_x AND a_y != b_y))"
+    pairs = stored(pairs.union(finer.filter(differ).select(*pair)).distinct(), "line-pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "line-wanted")
     texts = some.join(small(wanted), "h", "left_semi").select("h", "g", "line").distinct()
     texts = stored(texts.join(table.select("h", "g", F.col("first").alias("since")), ["h", "g"]), "line-texts")
