@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalweave.llm.frames import documents, small
+from signalweave.llm.frames import documents, release, small
 
 # Bound of the training sample (expected rows) and the number of shards that it is dealt to.
 SAMPLE_ROWS = 12_000
@@ -62,10 +62,13 @@ def mixed(
         one = _shard_pass(sent, train, start.dtype, start.shape, step)
         got = rows.groupBy("shard").applyInPandas(one, "n long, model binary").collect()
         sent.unpersist()
+        release(spark)
         if got:
             count = sum(r["n"] for r in got)
-            parts = (_unpacked(r["model"], start.dtype, start.shape) * (r["n"] / count) for r in got)
-            model = sum(parts).astype(start.dtype)
+            model = np.zeros_like(start)
+            while got:
+                part = got.pop()
+                model += _unpacked(part["model"], start.dtype, start.shape) * start.dtype.type(part["n"] / count)
     return model
 
 

@@ -20,7 +20,7 @@ from signalweave.llm import labelled
 from signalweave.llm.frames import documents, map_texts, stored
 
 FOLDS, HELD_OUT = 5, 0
-HASH_BITS = 20
+HASH_BITS = 19
 SKIPS = 2
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.0, 0.1
 ROUNDS = 4
@@ -84,8 +84,8 @@ def train(rows: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray
         return column
 
     known = stored(map_texts(rows, "at array<int>", values, keep=("doc_id", "label", "shard")), "toxicity")
-    start = np.zeros((2, (1 << HASH_BITS) + 1), np.float64)
-    w = weights_of(labelled.mixed(known, start, pass_over, rounds))
+    start = np.zeros((2, (1 << HASH_BITS) + 1), np.float32)
+    w = weights_of(labelled.mixed(known, start, pass_over, rounds).astype(np.float64))
     at = np.flatnonzero(w)
     return at, w[at]
 
