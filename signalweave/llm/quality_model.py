@@ -26,6 +26,8 @@ WIDTH = 8
 GRAMS = (2, 3, 4)
 ROUNDS = 8
 RATE = 8.0
+# Bound of the training sample: the marks of poor text are many and show in few rows.
+SAMPLE_ROWS = 4_000
 CACHED = 200_000
 #: A word that repeats the one before it is a feature of its own, as words of later texts are unseen.
 REPEAT = 0
@@ -95,12 +97,12 @@ def train(rows: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     def values():
         def columns(texts: list[bytes]):
             pairs = [features(t) for t in texts]
-            yield pa.array([p[0] for p in pairs], pa.list_(pa.int64()))
-            yield pa.array([p[1] for p in pairs], pa.list_(pa.int64()))
+            yield pa.array([p[0] for p in pairs], pa.list_(pa.int32()))
+            yield pa.array([p[1] for p in pairs], pa.list_(pa.int32()))
 
         return columns
 
-    known = map_texts(rows, "at array<long>, n array<long>", values, keep=("doc_id", "label", "shard"))
+    known = map_texts(rows, "at array<int>, n array<int>", values, keep=("doc_id", "label", "shard"))
     known = stored(known, "quality")
     start = np.random.default_rng(7).uniform(-0.5, 0.5, ((1 << HASH_BITS) + 3, WIDTH)).astype(np.float32)
     start[:-3] /= WIDTH
@@ -162,7 +164,7 @@ def score(
 
 
 def quality_query(spark: SparkSession, folder: str) -> DataFrame:
-    model = train(labelled.training_rows(spark, folder, "quality", FOLDS, HELD_OUT))
+    model = train(labelled.training_rows(spark, folder, "quality", FOLDS, HELD_OUT, SAMPLE_ROWS))
     scored = score(documents(spark, folder), *model)
     held_out = F.coalesce(labelled.fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
     return scored.select(
