@@ -1,14 +1,15 @@
-"""Every registered query against its SQL counterpart, and the shape of its plan."""
+"""Every query of the catalog against its SQL counterpart, and the shape of its plan."""
 
 from __future__ import annotations
 
 import pytest
 
 import __spark_entry__ as contract
+from signalweave import catalog
 from tests.compare import differences, oracle
 
 FOLDER = contract.SMALL
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,11 @@ def test_query_equals_sql(spark, con, name):
     assert differences(QUERIES[name](spark, FOLDER), con, SQL[name]) == []
 
 
+def test_contract_has_the_catalog():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry(spark):
     assert contract.entry(spark).columns[:3] == ["country", "category", "time_month"]
 
