@@ -25,6 +25,9 @@ from signalweave.operators.once import computed_once, explode_once
 EDITS = 2
 # Shorter lines always stay: headings, list marks and the like repeat in clean text.
 LEAST_CHARS = 30
+# Where no length is set, every line with a word takes part, and two lines may differ by one edit per so
+# many characters of the shorter: two edits of a short line make another line of it, not a copy.
+EDIT_CHARS = 15
 # A line in more than one of so many of all line occurrences is frequent; there are no more such lines.
 FREQUENT = 10_000
 
@@ -41,10 +44,15 @@ def _key(line: Column | str) -> list[Column]:
     return [F.xxhash64(line).alias("h"), F.xxhash64(F.lit(1), line).alias("g")]
 
 
-def _lines(df: DataFrame, text: str, least: int) -> DataFrame:
-    """`id`, `line`, `h`, `g` of every distinct long line of each document; a NULL id sorts last."""
+def _takes_part(line: Column, least: int | None) -> Column:
+    """Whether the line has `least` characters or, where that is None, a letter or digit."""
+    return line.rlike(r"[\p{L}\p{N}]") if least is None else F.char_length(line) >= least
+
+
+def _lines(df: DataFrame, text: str, least: int | None) -> DataFrame:
+    """`id`, `line`, `h`, `g` of every distinct line of each document that takes part; a NULL id sorts last."""
     lines = F.array_distinct(F.split(F.col(text), "\n", -1))
-    long = F.filter(lines, lambda x: F.char_length(x) >= least)
+    long = F.filter(lines, lambda x: _takes_part(x, least))
     source = df.select(F.coalesce(df["doc_id"].cast("long"), F.lit(LAST_ID)).alias("id"), df[text].alias(text))
     return explode_once(source.select("id", F.col(text)), "line", long).select("id", "line", *_key("line"))
 
@@ -275,13 +283,14 @@ def _likely(pairs: DataFrame, edits: int) -> DataFrame:
     return both.filter(likely).drop("_ra", "_rb", "_m", "_n", "_p", "_q")
 
 
-def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: int, text: str) -> DataFrame:
+def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: int | None, text: str) -> DataFrame:
     """`h`, `g` of the lines that have a line before them within the edits.
 
-    `table` has `h`, `g`, `first` and `n` of all lines, `total` is the sum of `n`.
+    `table` has `h`, `g`, `first` and `n` of all lines, `total` is the sum of `n`.  Without `least`, the
+    shorter of two lines has EDIT_CHARS characters for each edit between them.
     """
     spark = df.sparkSession
-    lines = _lines(df, text, least).withColumn("size", F.char_length("line"))
+    lines = _lines(df, text, max(EDIT_CHARS, edits + 1) if least is None else least).withColumn("size", F.char_length("line"))
     # Of a frequent line one occurrence takes part.  There are fewer than FREQUENT such lines, by
     # their definition, so that their keys may be broadcast; no other line can fill a partition.
     often = table.filter(F.col("n") * FREQUENT > total).select("h", "g", "first")
@@ -326,6 +335,9 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
     both = pairs.join(one, "a").join(two, "b")
     both = _likely(both.filter(F.abs(F.char_length("a_line") - F.char_length("b_line")) <= edits), edits)
     near = edit_distances(both, "a_line", "b_line", edits).filter(F.col("edits_apart") <= edits)
+    if least is None:
+        shorter = F.least(F.char_length("a_line"), F.char_length("b_line"))
+        near = near.filter(F.col("edits_apart") * EDIT_CHARS <= shorter)
     a_first = F.expr("a_since < b_since OR (a_since = b_since AND a_line < b_line)")
     later = F.when(a_first, F.struct(F.col("b_h").alias("h"), F.col("b_g").alias("g"))).otherwise(
         F.struct(F.col("a_h").alias("h"), F.col("a_g").alias("g"))
@@ -333,9 +345,11 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
     return near.select(later.alias("l")).select("l.h", "l.g").distinct()
 
 
-def dropped_lines(df: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, text: str = "text") -> DataFrame:
+def dropped_lines(
+    df: DataFrame, edits: int = EDITS, least: int | None = LEAST_CHARS, text: str = "text"
+) -> DataFrame:
     """`id`, `gone` (keys of the document's lines that an earlier line replaces) and `n_near` of them."""
-    if least <= edits:
+    if least is not None and least <= edits:
         raise ValueError("lines must be longer than the number of edits")
     places = stored(_lines(df, text, least).select("id", "h", "g"), "line-places")
     table = places.groupBy("h", "g").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -351,7 +365,7 @@ def dropped_lines(df: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, t
 
 
 def without_repeated_lines(
-    df: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS, text: str = "text", counts: tuple[str, ...] = ()
+    df: DataFrame, edits: int = EDITS, least: int | None = LEAST_CHARS, text: str = "text", counts: tuple[str, ...] = ()
 ) -> DataFrame:
     """The rows of `df`, all columns, with the text less its repeated lines.
 
@@ -360,7 +374,8 @@ def without_repeated_lines(
 
     A line of at least `least` characters is removed if its text has it before, if a document of a
     smaller id has it, or if another line within `edits` edits comes before it: one whose smallest id
-    is smaller or, that being equal, whose text is.  Lines are cut at line feeds.  Rows of one id
+    is smaller or, that being equal, whose text is.  If `least` is None, every line with a letter or
+    digit takes part, and EDIT_CHARS says how many edits a pair may have.  Lines are cut at line feeds.  Rows of one id
     count as one document for what comes before, a NULL id as the largest; every row stays, in the
     worst case with an empty text.  A NULL text stays NULL and has no line.
     """
@@ -373,7 +388,7 @@ def without_repeated_lines(
     split = computed_once(joined, _all=F.split(F.col(own), "\n", -1))
 
     def entry(x: Column, i: Column) -> Column:
-        long = F.char_length(x) >= least
+        long = _takes_part(x, least)
         h, g = _key(x)
         return F.struct(F.when(long, h).alias("h"), F.when(long, g).alias("g"), i.alias("i"))
 
