@@ -31,7 +31,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates: 4-word shingles, up to 4 differing bits."""
-    return simhash.keep_one(docs, words=4, max_bits=4)
+    return simhash.one_of_each_group(docs, words=4, max_bits=4)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

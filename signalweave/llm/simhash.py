@@ -225,6 +225,25 @@ def keep_one(df: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
     return rows.dropDuplicates(["doc_id"])
 
 
+def one_of_each_group(df: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of `df` for each group of near-duplicates, whatever the ids: none, repeated or NULL.
+
+    A row is named by its id and 128 bits of its text.  The least name of a group stays, rows without an
+    id being last; of rows that are equal in both, one.
+    """
+    columns = df.columns
+    plain = df.toDF(*[f"_c{i}" for i in range(len(columns))])
+    doc, text = (F.col(f"_c{columns.index(c)}") for c in ("doc_id", "text"))
+    name = F.struct(
+        doc.isNull().alias("none"), doc.alias("id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g")
+    )
+    found = near_duplicates(plain.select(name.alias("doc_id"), text.alias("text")), words, max_bits)
+    kept = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    named = plain.withColumn("_name", name)
+    rows = named.join(kept, named["_name"].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates(["_name"])
+    return rows.drop("_name").toDF(*columns)
+
+
 def simhash_query(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(documents(spark, folder))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

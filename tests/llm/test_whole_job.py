@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -26,3 +27,23 @@ def test_pipeline_removes_repeats_of_short_lines(spark, make):
         (4, "of its own"),
     ]
     assert texts(corpus_pipeline.drop_repeated_lines(spark, make(rows), "")) == Counter(expected)
+
+
+def prose(seed, n=60):
+    draw = random.Random(seed)
+    return " ".join(f"w{draw.randrange(10_000)}" for _ in range(n))
+
+
+def test_pipeline_keeps_one_row_per_group_whatever_the_ids(spark, make, awkward):
+    """Different texts without an id, or of one id, all stay; of each group of copies exactly one row does."""
+    clean = [(None, prose(i)) for i in range(20)] + [(7, prose(30)), (7, prose(31))]
+    # The group's least id has a text of another group too.
+    copies = [(5, prose(40)), (5, prose(41)), (6, prose(41)), (None, prose(41)), (8, prose(40)), (8, prose(40))]
+    lone = [(None, prose(50)), (None, prose(50)), (None, prose(50)), (None, None), (None, ""), (9, None)]
+    left = corpus_pipeline.drop_near_duplicates(spark, make(clean + copies + lone), "")
+    assert left.columns == awkward[0].columns
+    expected = [*clean, *copies[:2], lone[0], (9, None)]
+    assert texts(left) == Counter(expected)
+    df, rows = awkward
+    # Both texts of id 1 are groups of their own; 2, 3 and 4 have no word and are one group.
+    assert texts(corpus_pipeline.drop_near_duplicates(spark, df, "")) == Counter(rows[i] for i in (1, 2, 3, 4, 7, 8))
