@@ -22,7 +22,7 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines of any length that repeat earlier ones; `n_chars`, if there, follows the text."""
-    left = line_dedup.without_repeated_lines(docs, least=None)
+    left = line_dedup.without_repeated_lines(docs, least=None, by_row=True)
     if "n_chars" not in docs.columns:
         return left
     chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)

@@ -8,7 +8,7 @@ keys instead: of many short segments all but `edits` agree.  Pairs that meet are
 that runs over a band around the diagonal, with the band's cells as bits of one number.
 
 A line stays if no line before it is equal or within the edits.  Lines are ordered by the smallest
-id of a document that has them, then by their text.
+id of a document that has them, or by id and row, then by their text.
 """
 
 from __future__ import annotations
@@ -49,11 +49,17 @@ def _takes_part(line: Column, least: int | None) -> Column:
     return line.rlike(r"[\p{L}\p{N}]") if least is None else F.char_length(line) >= least
 
 
+def _ident(df: DataFrame, doc: str) -> Column:
+    """What documents are told apart and ordered by: the id, a NULL one last, and then `_row`, if that is there."""
+    ident = F.coalesce(df[doc].cast("long"), F.lit(LAST_ID))
+    return F.struct(ident.alias("id"), df["_row"].alias("row")) if "_row" in df.columns else ident
+
+
 def _lines(df: DataFrame, text: str, least: int | None) -> DataFrame:
-    """`id`, `line`, `h`, `g` of every distinct line of each document that takes part; a NULL id sorts last."""
+    """`id`, `line`, `h`, `g` of every distinct line of each document that takes part; see `_ident`."""
     lines = F.array_distinct(F.split(F.col(text), "\n", -1))
     long = F.filter(lines, lambda x: _takes_part(x, least))
-    source = df.select(F.coalesce(df["doc_id"].cast("long"), F.lit(LAST_ID)).alias("id"), df[text].alias(text))
+    source = df.select(_ident(df, "doc_id").alias("id"), df[text].alias(text))
     return explode_once(source.select("id", F.col(text)), "line", long).select("id", "line", *_key("line"))
 
 
@@ -365,7 +371,12 @@ def dropped_lines(
 
 
 def without_repeated_lines(
-    df: DataFrame, edits: int = EDITS, least: int | None = LEAST_CHARS, text: str = "text", counts: tuple[str, ...] = ()
+    df: DataFrame,
+    edits: int = EDITS,
+    least: int | None = LEAST_CHARS,
+    text: str = "text",
+    counts: tuple[str, ...] = (),
+    by_row: bool = False,
 ) -> DataFrame:
     """The rows of `df`, all columns, with the text less its repeated lines.
 
@@ -378,13 +389,19 @@ def without_repeated_lines(
     digit takes part, and EDIT_CHARS says how many edits a pair may have.  Lines are cut at line feeds.  Rows of one id
     count as one document for what comes before, a NULL id as the largest; every row stays, in the
     worst case with an empty text.  A NULL text stays NULL and has no line.
+
+    With `by_row` every row is a document of its own, whatever its id: rows get a number that is written
+    once, with the rows, and rows of one id or of none come in the order of that number.
     """
     names = df.columns
     plain = df.toDF(*[f"_c{i}" for i in range(len(names))])
     own, doc = f"_c{names.index(text)}", f"_c{names.index('doc_id')}"
-    lost = stored(dropped_lines(df.select("doc_id", F.col(text).alias("text")), edits, least), "line-dropped")
-    ident = F.coalesce(plain[doc].cast("long"), F.lit(LAST_ID))
-    joined = plain.withColumn("id", ident).join(lost, "id", "left")
+    number = []
+    if by_row:
+        plain, number = stored(plain.withColumn("_row", F.monotonically_increasing_id()), "line-rows"), ["_row"]
+    source = plain.select(plain[doc].alias("doc_id"), plain[own].alias("text"), *number)
+    lost = stored(dropped_lines(source, edits, least), "line-dropped")
+    joined = plain.withColumn("id", _ident(plain, doc)).drop(*number).join(lost, "id", "left")
     split = computed_once(joined, _all=F.split(F.col(own), "\n", -1))
 
     def entry(x: Column, i: Column) -> Column:
@@ -407,7 +424,7 @@ def without_repeated_lines(
     kept = F.array_join(F.transform(rest, lambda i: F.element_at("_all", i + 1)), "\n")
     sizes = [F.when(F.col(own).isNull(), F.lit(0)).otherwise(F.size(c)).cast("long") for c in ("_all", "_out")]
     added = [*sizes, F.coalesce("n_near", F.lit(0).cast("long"))]
-    columns = [kept if c == own else F.col(c) for c in plain.columns] + added[: len(counts)]
+    columns = [kept if c == own else F.col(c) for c in plain.columns if c not in number] + added[: len(counts)]
     return known.select(*[c.alias(f"_c{i}") for i, c in enumerate(columns)]).toDF(*names, *counts)
 
 

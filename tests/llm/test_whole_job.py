@@ -47,3 +47,17 @@ def test_pipeline_keeps_one_row_per_group_whatever_the_ids(spark, make, awkward)
     df, rows = awkward
     # Both texts of id 1 are groups of their own; 2, 3 and 4 have no word and are one group.
     assert texts(corpus_pipeline.drop_near_duplicates(spark, df, "")) == Counter(rows[i] for i in (1, 2, 3, 4, 7, 8))
+
+
+def test_pipeline_removes_lines_that_repeat_without_an_id(spark, make):
+    """Rows of one id, of none, and rows that are equal in all: a line stays in the first of them only."""
+    line, near = "a line of some length that stands in many rows", "a line of some length that stends in many rows"
+    rows = [(None, f"{line}\nown {i}xx{i}{i}") for i in range(6)] + [(3, f"{line}\n{prose(i)}") for i in range(3)]
+    rows += [(3, near), (None, near), (None, "equal in all"), (None, "equal in all"), (None, None)]
+    left = corpus_pipeline.drop_repeated_lines(spark, make(rows), "").collect()
+    assert len(left) == len(rows) and Counter(r.doc_id for r in left) == Counter(i for i, _ in rows)
+    lines = Counter(x for r in left for x in (r.text or "").split("\n"))
+    assert lines[line] == 1 and lines[near] == 0 and lines["equal in all"] == 1
+    assert [r.doc_id for r in left if line in (r.text or "")] == [3]
+    assert all(lines[x] == 1 for _, t in rows for x in (t or "").split("\n") if x and x != near)
+    assert [r.text for r in left].count(None) == 1
