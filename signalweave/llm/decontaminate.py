@@ -185,6 +185,22 @@ def without_contaminated(df: DataFrame, items: DataFrame) -> DataFrame:
     return df.join(found, df["doc_id"].eqNullSafe(found["_found"]), "left_anti")
 
 
+def rows_without_items(df: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of `df` that contain no item, whatever their ids: none, repeated or NULL.
+
+    A row is named by its id and 128 bits of its text; rows equal in both hold the same items.
+    """
+    names = df.columns
+    plain = df.toDF(*[f"_c{i}" for i in range(len(names))])
+    doc, text = (F.col(f"_c{names.index(c)}") for c in ("doc_id", "text"))
+    name = F.struct(doc.alias("id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"))
+    found = contained_items(plain.select(name.alias("doc_id"), text.alias("text")), items)
+    found = found.select(F.col("doc_id").alias("_found")).distinct()
+    named = plain.withColumn("_name", name)
+    left = named.join(found, named["_name"].eqNullSafe(found["_found"]), "left_anti")
+    return left.drop("_name").toDF(*names)
+
+
 def decontamination_query(spark: SparkSession, folder: str) -> DataFrame:
     return contained_items(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 

@@ -61,3 +61,14 @@ def test_pipeline_removes_lines_that_repeat_without_an_id(spark, make):
     assert [r.doc_id for r in left if line in (r.text or "")] == [3]
     assert all(lines[x] == 1 for _, t in rows for x in (t or "").split("\n") if x and x != near)
     assert [r.text for r in left].count(None) == 1
+
+
+def test_pipeline_drops_contaminated_rows_only(spark, make, tmp_path):
+    """A row that contains an item takes no clean row of its id, or without one, along."""
+    items = [(i, prose(100 + i, 20)) for i in range(3)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(None, prose(i)) for i in range(10)] + [(1, prose(20)), (2, prose(21)), (None, None), (1, None), (None, "")]
+    dirty = [(None, f"{prose(30)} {items[0][1]}"), (1, f"{items[1][1]} {prose(31)}"), (1, items[2][1]), (1, items[2][1])]
+    left = corpus_pipeline.drop_contaminated(spark, make(clean + dirty), str(tmp_path))
+    assert left.columns == make(clean).columns
+    assert texts(left) == Counter(clean)
