@@ -150,16 +150,23 @@ _ONE_NAME = re.compile(rf"(?i)\b(?:{_NAME}|{_SIGN})\b")
 _PLUS = re.compile(r"(?i)\bplus[\s-]+(?=[0-9])")
 _AT = re.compile(rf"(?i)(?:\s*[\[({{<]\s*|[_-])(?:{_AT_NAME}|@)(?:\s*[\])}}>]\s*|[_-])")
 _DOT = re.compile(rf"(?i)(?:\s*[\[({{<]\s*|[_-])(?:{_DOT_NAME}|\.)(?:\s*[\])}}>]\s*|[_-])")
-# A whole address in words: its local part, "at", and a domain whose last dot is a word, or a plain
-# domain after a local part that no ordinary word looks like.
+_IN_BRACKETS = rf"\s*[\[({{<]\s*{_DOT_NAME}\s*[\])}}>]\s*"
+# A whole address in words: its local part, "at", and a domain whose last dot is a word, bare or in
+# brackets, or a plain domain after a local part that no ordinary word looks like.
+_SPELLED_DOT = rf"(?:\s+{_DOT_NAME}\s+|{_IN_BRACKETS})"
 _AT_WORDS = re.compile(
     rf"(?i)(?<![\w.%+-])(?:"
-    rf"[a-z0-9][a-z0-9._%+-]*(?:\s+{_DOT_NAME}\s+[a-z0-9_%+-]+)*(?P<at>\s+{_AT_NAME}\s+|\s*@\s*)"
-    rf"[a-z0-9-]+(?:(?:\s+{_DOT_NAME}\s+|\s*\.\s*)[a-z0-9-]+)*?(?:\s+{_DOT_NAME}\s+[a-z]{{2,}}\b)+"
+    rf"[a-z0-9][a-z0-9._%+-]*(?:{_SPELLED_DOT}[a-z0-9_%+-]+)*(?P<at>\s+{_AT_NAME}\s+|\s*@\s*)"
+    rf"[a-z0-9-]+(?:(?:{_SPELLED_DOT}|\s*\.\s*)[a-z0-9-]+)*?(?:{_SPELLED_DOT}[a-z]{{2,}}\b)+"
     rf"|[a-z]*[0-9._%+-][a-z0-9._%+-]*(?P<plain>\s+{_AT_NAME}\s+|\s+@\s*|\s*@\s+)[a-z0-9-]+(?:\.[a-z0-9-]+)+)"
 )
-_DOT_WORDS = re.compile(rf"(?i)\s+{_DOT_NAME}\s+|\s*\.\s*")
-_AT_HINT = re.compile(rf"[\[({{<_-]\s*(?:{_AT_NAME}|@)\s*[\])}}>_-]|\s{_AT_NAME}\s+[a-z0-9-]+(?:\s+{_DOT_NAME}\s|\.[a-z0-9])|\s@|@\s")
+_DOT_WORDS = re.compile(rf"(?i){_SPELLED_DOT}|\s*\.\s*")
+# What a text must have for any of these: a bracketed word or sign, a bare "at" with a dot after it, an @
+# beside a blank, or an @ and then a spelled dot.
+_AT_HINT = re.compile(
+    rf"[\[({{<_-]\s*(?:{_AT_NAME}|{_DOT_NAME}|[@.])\s*[\])}}>_-]"
+    rf"|\s{_AT_NAME}\s+[a-z0-9-]+(?:\s+{_DOT_NAME}\s|\.[a-z0-9])|\s@|@\s|@[a-z0-9.-]+\s+{_DOT_NAME}\s"
+)
 _MIXED = re.compile(r"(?<=[0-9])[OoIl](?=[ ().-]{0,3}[0-9])|(?<=[0-9][ ().-])[OoIl](?=[0-9])")
 _SPELLED_RUN = re.compile(r"[0-9](?:[ ,.()-]{0,4}[0-9])+")
 
@@ -210,14 +217,8 @@ def digits(work: Rewritten, lowered: str) -> set[int]:
     return spelled
 
 
-def at_and_dot(work: Rewritten, lowered: str) -> None:
-    """Bracketed "at" and "dot" anywhere; bare words only where a whole address is spelled."""
-    if not _AT_HINT.search(lowered):
-        return
-    if _AT.search(work.text):
-        work.replace([(m.start(), m.end(), "@") for m in _AT.finditer(work.text)])
-        if _DOT.search(work.text):
-            work.replace([(m.start(), m.end(), ".") for m in _DOT.finditer(work.text)])
+def _addresses(work: Rewritten) -> None:
+    """Whole addresses in words to plain ones."""
     changes = []
     for m in _AT_WORDS.finditer(work.text):
         which = "at" if m["at"] else "plain"
@@ -229,6 +230,19 @@ def at_and_dot(work: Rewritten, lowered: str) -> None:
         work.replace(changes)
 
 
+def at_and_dot(work: Rewritten, lowered: str) -> None:
+    """Bracketed "at" and "dot" anywhere; bare words only where a whole address is spelled."""
+    if not _AT_HINT.search(lowered):
+        return
+    if _AT.search(work.text):
+        work.replace([(m.start(), m.end(), "@") for m in _AT.finditer(work.text)])
+    # A bracketed "dot" tells that a bare "at" before it is one of an address, so these come first.
+    _addresses(work)
+    if _DOT.search(work.text):
+        work.replace([(m.start(), m.end(), ".") for m in _DOT.finditer(work.text)])
+        _addresses(work)
+
+
 def disguised_spans(text: str) -> list[Span]:
     """Identifiers that show only after rewriting, as spans of the source."""
     work = Rewritten(text)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline
+from signalweave.llm import pii
 
 
 def texts(df):
@@ -72,3 +75,32 @@ def test_pipeline_drops_contaminated_rows_only(spark, make, tmp_path):
     left = corpus_pipeline.drop_contaminated(spark, make(clean + dirty), str(tmp_path))
     assert left.columns == make(clean).columns
     assert texts(left) == Counter(clean)
+
+
+@pytest.mark.parametrize(
+    ("kind", "hidden"),
+    [
+        ("email", "alice@example dot com"),
+        ("email", "alice@mail dot example dot com"),
+        ("email", "alice@example[dot]com"),
+        ("email", "alice@example (dot) com"),
+        ("email", "alice at example[dot]com"),
+        ("email", "alice at example (dot) com"),
+        ("email", "jane (dot) doe at mail.example {punkt} com"),
+        ("email", "name@host[.]com"),
+        ("email", "x.42 at mail8[.]example[.]com"),
+        ("ip", "192[.]168[.]0[.]1"),
+        ("ip", "192 (dot) 168 (dot) 0 (dot) 1"),
+    ],
+)
+def test_spelled_and_bracketed_dots_are_found_without_a_bracketed_at(kind, hidden):
+    for before, after in (("", ""), ("é😀 write to: ", ", please"), ("(", ")")):
+        text = f"{before}{hidden}{after}"
+        base, every = pii.all_spans(text)
+        whole = (kind, len(before), len(before) + len(hidden))
+        assert whole in every and whole not in base, (text, every)
+
+
+def test_bracketed_dots_alone_hide_nothing():
+    for text in ("see [.] and (dot) there", "a(.)b matches any", "found at once (dot)", "version 1[.]2", "x -.- y @ home"):
+        assert pii.disguised_spans(text) == [], text
