@@ -1,8 +1,8 @@
-"""Benchmark decontamination: which documents contain which test items, found by containment MinHash.
+"""Benchmark decontamination: which documents contain which test items, found by prefix filtering.
 
 An item is contained in a document when at least a given share of its distinct word shingles occur
-there.  Items are partitioned by size.  The items of a partition keep a MinHash sketch of the
-smallest shingles, as many as the largest item of that partition could be missing and one more, so
+there.  Items are partitioned by size.  The items of a partition keep a sketch of their
+rarest shingles, as many as the largest item of that partition could be missing and one more, so
 that a document that contains an item must hold at least one member of its sketch.  A document is
 never sketched: next to a long document, the signature of a short item would drown.  Candidates are
 verified by counting all shingles of the item in the document.
@@ -90,7 +90,7 @@ def item_shingles(items: DataFrame, words: int = SHINGLE_WORDS, text: str = "tex
 
 
 def sketches(shingles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The MinHash sketch of each item: its first shingles by rarity among the items, then by hash.
+    """The sketch of each item: its first shingles by rarity among the items, then by hash.
 
     A partition holds the items of 2^c to 2^(c+1)-1 shingles and has one sketch size, one more than
     the shingles that its largest item may lack.
