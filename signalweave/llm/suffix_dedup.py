@@ -1,12 +1,12 @@
-"""Removal of long repeated passages: sparse distributed prefix doubling over byte positions.
+"""Removal of long repeated passages: byte positions in runs that share a seed.
 
 A position is the start of a string of `length` bytes; it is repeated if that string starts anywhere
-else.  Ranking all positions at offsets that grow up to `length` would move many times the input, so
-positions travel as runs.  Each string is owned by the seed in it, a string of SEED bytes, whose hash
+else.  Prefix doubling, which ranks all positions at offsets that grow up to `length`, would move many
+times the input, so positions travel as runs.  Each string is owned by the seed in it, a string of SEED bytes, whose hash
 is lowest; equal strings have their seeds in the same place.  The positions that own the same seed
 follow each other: they are a run, and their distances to the seed are their slots.
 
-The rank of a run is that of its seed.  Spark sorts (rank, run) pairs; a run of unique rank has no
+The rank of a run is the hash of its seed.  Spark groups runs by rank; a run of unique rank has no
 repeated position and goes.  Two runs that are equal in all their bytes are repeated throughout and
 are settled.  The others are cut into cells of neighbouring slots, whose strings share more bytes
 than the run's did: from rank to rank the common part grows towards `length`.  The cells are ranked
