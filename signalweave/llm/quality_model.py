@@ -26,8 +26,6 @@ WIDTH = 8
 GRAMS = (2, 3, 4)
 ROUNDS = 8
 RATE = 8.0
-# Bound of the training sample: the marks of poor text are many and show in few rows.
-SAMPLE_ROWS = 4_000
 CACHED = 200_000
 #: A word that repeats the one before it is a feature of its own, as words of later texts are unseen.
 REPEAT = 0
@@ -72,12 +70,26 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(rows, return_counts=True)
 
 
+def packed(at: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending table rows as steps of 16 bits, and their counts, as compressed planes of bytes."""
+    steps = np.diff(at, prepend=0).astype("<u2").view(np.uint8).reshape(-1, 2)
+    counts = n.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return zlib.compress(steps.T.tobytes() + counts.T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(6, -1)
+    steps = np.ascontiguousarray(planes[:2].T).view("<u2").ravel()
+    counts = np.ascontiguousarray(planes[2:].T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.int64), counts.astype(np.float32)
+
+
 def pass_over(model: np.ndarray, rows: pd.DataFrame, step: int) -> np.ndarray:
     """One pass of gradient descent.  The last two table rows hold the output weights and biases."""
     vectors, out, bias = model[:-3], model[-3:-1], model[-1, :2]
     rate = RATE / (1 + step)
-    for at, n, label in zip(rows["at"], rows["n"], rows["label"]):
-        at, n = np.asarray(at, np.int64), np.asarray(n, np.float32)
+    for data, label in zip(rows["packed"], rows["label"]):
+        at, n = unpacked(data)
         share = n / max(1.0, n.sum())
         mean = share @ vectors[at] if len(at) else np.zeros(WIDTH, np.float32)
         logits = out @ mean + bias
@@ -96,13 +108,11 @@ def train(rows: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
 
     def values():
         def columns(texts: list[bytes]):
-            pairs = [features(t) for t in texts]
-            yield pa.array([p[0] for p in pairs], pa.list_(pa.int32()))
-            yield pa.array([p[1] for p in pairs], pa.list_(pa.int32()))
+            yield pa.array([packed(*features(t)) for t in texts], pa.binary())
 
         return columns
 
-    known = map_texts(rows, "at array<int>, n array<int>", values, keep=("doc_id", "label", "shard"))
+    known = map_texts(rows, "packed binary", values, keep=("doc_id", "label", "shard"))
     known = stored(known, "quality")
     start = np.random.default_rng(7).uniform(-0.5, 0.5, ((1 << HASH_BITS) + 3, WIDTH)).astype(np.float32)
     start[:-3] /= WIDTH
@@ -164,7 +174,7 @@ def score(
 
 
 def quality_query(spark: SparkSession, folder: str) -> DataFrame:
-    model = train(labelled.training_rows(spark, folder, "quality", FOLDS, HELD_OUT, SAMPLE_ROWS))
+    model = train(labelled.training_rows(spark, folder, "quality", FOLDS, HELD_OUT))
     scored = score(documents(spark, folder), *model)
     held_out = F.coalesce(labelled.fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
     return scored.select(

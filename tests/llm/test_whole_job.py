@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from signalweave.llm import pii
+from signalweave.llm import labelled, pii, quality_model
 
 
 def texts(df):
@@ -104,3 +105,17 @@ def test_spelled_and_bracketed_dots_are_found_without_a_bracketed_at(kind, hidde
 def test_bracketed_dots_alone_hide_nothing():
     for text in ("see [.] and (dot) there", "a(.)b matches any", "found at once (dot)", "version 1[.]2", "x -.- y @ home"):
         assert pii.disguised_spans(text) == [], text
+
+
+def test_quality_learns_from_the_whole_bounded_sample(monkeypatch):
+    """The common bound holds, and what is stored of a row gives its features back."""
+    bounds = []
+    monkeypatch.setattr(labelled, "training_rows", lambda *a: bounds.append((a + (labelled.SAMPLE_ROWS,))[5]))
+    monkeypatch.setattr(quality_model, "train", lambda rows: (_ for _ in ()).throw(KeyError))
+    with pytest.raises(KeyError):
+        quality_model.quality_query(None, "")
+    assert bounds == [12_000]
+    for text in ("", "a", "é é é " * 50_000, prose(1, 5000)):
+        at, n = quality_model.features(text.encode())
+        got = quality_model.unpacked(quality_model.packed(at, n))
+        assert np.array_equal(got[0], at) and np.array_equal(got[1], n)
