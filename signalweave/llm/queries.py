@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from signalweave.llm import (
     decontaminate,
+    filter_audit,
+    lexical_search,
     line_dedup,
     packing,
     pii,
@@ -13,6 +15,7 @@ from signalweave.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    version_sketch,
 )
 
 QUERIES = {
@@ -26,10 +29,15 @@ QUERIES = {
     "op8_token_counts": token_counts.token_counts_query,
     "op9_simhash": simhash.simhash_query,
     "op10_toxicity": toxicity.toxicity_query,
+    "op11_lexical_search": lexical_search.search_query,
+    "op12_filter_audit": filter_audit.filter_audit_query,
+    "op13_version_sketch": version_sketch.version_sketch_query,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": decontaminate.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,
+    "op11_lexical_search": lexical_search.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
