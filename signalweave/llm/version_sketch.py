@@ -23,13 +23,10 @@ from signalweave.llm.frames import documents, release, stored
 from signalweave.operators.once import computed_once
 
 HASHES = 3
-# Cells of a fingerprint for each hash.
+# Cells of a fingerprint for each hash; where the fingerprints' difference cannot be peeled, each further attempt
+# has GROWTH times as many and other hashes.  Only cells in which something is are rows, so that more cells cost nothing.
 CELLS = 8
-# Where the fingerprints' difference cannot be peeled: cells for each paragraph of both versions, for each hash,
-# and at least so many; each further attempt has GROWTH times as many and other hashes.
-ROOMY = 4
-LEAST_ROOMY = 32
-GROWTH = 4
+GROWTH = 64
 # Rounds over all tables before an attempt is given up for a larger one.
 ROUNDS = 3
 
@@ -38,8 +35,11 @@ PIECE = r"(?:[^\s.!?]++[^\S\n]*+){1,8}+"
 
 # Documents in one range of ids, the most ranges, and rows drawn for each range to place its bounds.
 RANGE_ROWS = 1_000
-MOST_RANGES = 50_000
-DRAWN = 32
+MOST_RANGES = 20_000
+DRAWN = 8
+# Documents of one block, whose cells lie together, and those that one task adds up.
+BLOCK_BITS = 8
+TASK_ROWS = 400
 
 LAST_ID = (1 << 63) - 1
 
@@ -52,40 +52,46 @@ def paragraphs(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda x: F.xxhash64(F.trim(x))))
 
 
-def _cell(key: Column, table: Column | int, size: Column, attempt: int) -> Column:
-    table = F.lit(table) if isinstance(table, int) else table
-    within = F.pmod(F.xxhash64(F.lit(attempt), table, key), size.cast("long"))
-    return table * size.cast("long") + within
+def _cell(key: Column, table: Column | int, attempt: int) -> Column:
+    table, size = F.lit(table).cast("long") if isinstance(table, int) else table, cells_of(attempt)
+    return table * size + F.pmod(F.xxhash64(F.lit(attempt), table, key), F.lit(size))
+
+
+def cells_of(attempt: int) -> int:
+    """Cells for each hash: those of a fingerprint at attempt 0."""
+    return CELLS * GROWTH**attempt
 
 
 def _check(key: Column) -> Column:
     return F.xxhash64(F.lit("check"), key)
 
 
-def sketch(units: DataFrame, by: list[str], attempt: int = 0) -> DataFrame:
-    """Cells of the digests `key`, each with a `sign` of 1 or -1, for every value of the columns `by` and `size`.
+def sketch(units: DataFrame, by: list[str], attempt: int = 0, empty: bool = False) -> DataFrame:
+    """Cells of the digests `key`, each with a `sign` of 1 or -1, for every value of the columns `by`.
 
     With digests of one sign this is a sketch; with those of another version under -1 it is the difference of both
-    sketches, since cells only add up.  `cell`, `n`, `keys`, `checks`; cells in which nothing is left are not there.
+    sketches, since cells only add up.  `cell`, `n`, `keys`, `checks`; cells in which nothing is left are not there
+    unless `empty`, and a NULL digest is in none.
     """
-    tables = F.array(*[F.lit(t) for t in range(HASHES)])
-    placed = units.select(*by, "size", "key", "sign", F.explode(tables).alias("table"))
-    placed = placed.withColumn("cell", _cell(F.col("key"), F.col("table"), F.col("size"), attempt))
+    tables = F.array(*[F.lit(t).cast("long") for t in range(HASHES)])
+    placed = units.select(*by, "key", "sign", F.explode(tables).alias("table"))
     return _merged(
         placed.select(
-            *by, "size", "cell", F.lit(None).cast("long").alias("found"), F.col("sign").alias("n"),
-            F.col("key").alias("keys"), _check(F.col("key")).alias("checks"),
+            *by, _cell(F.col("key"), F.col("table"), attempt).alias("cell"), F.lit(None).cast("long").alias("found"),
+            F.col("sign").alias("n"), F.col("key").alias("keys"),
+            F.when(F.col("key").isNotNull(), _check(F.col("key"))).alias("checks"),
         ),
         by,
+        empty,
     )
 
 
-def _merged(cells: DataFrame, by: list[str]) -> DataFrame:
+def _merged(cells: DataFrame, by: list[str], empty: bool = False) -> DataFrame:
     """Cells of equal place added up; rows of digests that were found (`cell` is -1) stay as they are."""
-    merged = cells.groupBy(*by, "size", "cell", "found").agg(
+    merged = cells.groupBy(*by, "cell", "found").agg(
         F.sum("n").alias("n"), F.bit_xor("keys").alias("keys"), F.bit_xor("checks").alias("checks")
     )
-    return merged.filter("n != 0 OR keys != 0 OR checks != 0")
+    return merged if empty else merged.filter("n != 0 OR keys != 0 OR checks != 0")
 
 
 def peel(cells: DataFrame, by: list[str], attempt: int = 0, rounds: int = ROUNDS) -> DataFrame:
@@ -94,27 +100,21 @@ def peel(cells: DataFrame, by: list[str], attempt: int = 0, rounds: int = ROUNDS
     Such a row has the digest as `found`, and `n` tells the version that has it: 1 or -1.  A step looks at the cells of one
     table, in which a digest has one place only, so that no two cells can show the same one.
     """
+    size = cells_of(attempt)
     for table in [t for _ in range(rounds) for t in range(HASHES)]:
-        here = (F.col("cell") >= table * F.col("size")) & (F.col("cell") < (table + 1) * F.col("size"))
+        here = (F.col("cell") >= table * size) & (F.col("cell") < (table + 1) * size)
         single = here & (F.abs("n") == 1) & (F.col("checks") == _check(F.col("keys")))
-        none = F.lit(None).cast("long")
-        as_is = F.struct(
-            F.col("cell").alias("cell"), F.col("found").alias("found"), F.col("n").alias("n"),
-            F.col("keys").alias("keys"), F.col("checks").alias("checks"),
-        )
-        out = [
-            F.struct(
-                _cell(F.col("keys"), t, F.col("size"), attempt).alias("cell"), none.alias("found"), (-F.col("n")).alias("n"),
-                F.col("keys").alias("keys"), F.col("checks").alias("checks"),
-            )
-            for t in range(HASHES)
-        ]
-        known = F.struct(
-            F.lit(-1).cast("long").alias("cell"), F.col("keys").alias("found"), F.col("n").alias("n"),
-            F.lit(0).cast("long").alias("keys"), F.lit(0).cast("long").alias("checks"),
-        )
+
+        def row(cell: Column, found: Column, n: Column, keys: Column, checks: Column) -> Column:
+            return F.struct(*[c.alias(a) for c, a in zip((cell, found, n, keys, checks), ("cell", "found", "n", "keys", "checks"))])
+
+        cell, found, n, keys, checks = map(F.col, ("cell", "found", "n", "keys", "checks"))
+        none, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
+        out = [row(_cell(keys, t, attempt), none, -n, keys, checks) for t in range(HASHES)]
+        known = row(F.lit(-1).cast("long"), keys, n, zero, zero)
+        as_is = row(cell, found, n, keys, checks)
         rows = F.when(single, F.array(as_is, *out, known)).otherwise(F.array(as_is))
-        cells = _merged(cells.select(*by, "size", F.explode(rows).alias("r")).select(*by, "size", "r.*"), by)
+        cells = _merged(cells.select(*by, F.explode(rows).alias("r")).select(*by, "r.*"), by)
     return cells
 
 
@@ -178,7 +178,7 @@ def _before(bounds: Column, count: int, key: Column, equal: bool) -> Column:
 
 
 def with_next(df: DataFrame, text: str = "text") -> DataFrame:
-    """`doc_id`, `text` and `next`, the text of the following document, with `range` and `place`.
+    """`doc_id`, `text` and `next`, the text of the following document, with `range`, `place` and the sort keys `id`, `h`.
 
     Documents come in the order of their ids, a NULL id as the largest, and those of one id in the order
     of a hash of their texts; after the last comes the first.  A NULL text is empty.  Each range of ids is
@@ -217,10 +217,12 @@ def with_next(df: DataFrame, text: str = "text") -> DataFrame:
         )
     columns = ["range", "id", "h", "doc_id", "text"]
     both = rows.select(*columns, F.lit(0).alias("guest")).union(extra.select(*columns, F.lit(1)))
-    order = Window.partitionBy("range").orderBy("guest", "id", "h")
-    return both.select(
-        "range", F.row_number().over(order).alias("place"), "guest", "doc_id", "text", F.lead("text").over(order).alias("next")
-    )
+    order = _order()
+    return both.select("*", F.row_number().over(order).alias("place"), F.lead("text").over(order).alias("next"))
+
+
+def _order():
+    return Window.partitionBy("range").orderBy("guest", "id", "h")
 
 
 def edited(text: Column, following: Column, chars: Column) -> Column:
@@ -230,14 +232,28 @@ def edited(text: Column, following: Column, chars: Column) -> Column:
 
 
 def _prepared(df: DataFrame, text: str) -> DataFrame:
-    """Per document its paragraph digests and those of its edited text; texts are not needed after this."""
+    """Per document its paragraph digests and those of its edited text; texts are not needed after this.
+
+    Ranges are cut into blocks, again with a copy of the row that follows, and `range` is the block from here on.
+    """
     rows = computed_once(with_next(df, text), chars=F.char_length("text").cast("int"))
     rows = computed_once(rows, changed=edited(F.col("text"), F.coalesce("next", F.lit("")), F.col("chars")))
-    return rows.select(
-        "range", "place", "guest", "doc_id", F.col("chars").cast("long").alias("n_chars"),
+    rows = rows.select(
+        "range", "place", "guest", "id", "h", "doc_id", F.col("chars").cast("long").alias("n_chars"),
         F.sha2(F.col("changed").cast("binary"), 256).alias("edited_sha256"),
         paragraphs(F.col("text")).alias("own"), paragraphs(F.col("changed")).alias("new"),
     )
+    rows = computed_once(rows, n_own=F.size("own"), n_new=F.size("new"))
+    # The same order again, so that nothing is moved or sorted for it.
+    rows = rows.withColumn("n_next", F.lead("n_own").over(_order())).drop("id", "h")
+    at = F.col("place") - 1
+    block = F.call_function("shiftleft", F.col("range").cast("long"), F.lit(32)) + F.shiftright(at, BLOCK_BITS)
+    begins = (at > 0) & (at.bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) == 0)
+    itself = F.struct(block.alias("range"), F.col("guest").alias("guest"))
+    follows = F.struct((block - 1).alias("range"), F.lit(1).alias("guest"))
+    rest = [c for c in rows.columns if c not in ("range", "guest")]
+    blocks = F.array_compact(F.array(itself, F.when(begins, follows)))
+    return rows.select(*rest, F.explode(blocks).alias("b")).select("b.*", *rest)
 
 
 ROW = ["range", "place"]
@@ -252,18 +268,26 @@ def _units(table: DataFrame) -> DataFrame:
     """`key`, `sign` of the pairs "edited" (document and edited text) and "next" (document and following one).
 
     A document is the one version of its own pairs and the other one of the pair of the document before it.
+    The flags `edited`, `next` and `before` say which of the three are wanted.
     """
 
-    def version(pair: str, place: Column, keys: str, sign: int) -> Column:
-        return F.struct(F.lit(pair).alias("pair"), place.alias("place"), _signed(keys, sign).alias("units"))
+    def version(wanted: str, pair: str, place: Column, keys: str, sign: int) -> Column:
+        made = F.struct(F.lit(pair).alias("pair"), place.alias("place"), _signed(keys, sign).alias("units"))
+        return F.when(F.col(wanted), made)
 
-    here, before = F.col("place"), F.col("place") - 1
-    own = F.array(version("edited", here, "own", 1), version("edited", here, "new", -1), version("next", here, "own", 1))
-    # The first row of a range has no document before it there, and a guest no pairs of its own.
-    other = F.when(before > 0, F.array(version("next", before, "own", -1)))
-    parts = F.concat(F.when(F.col("guest") == 0, own).otherwise(F.slice(own, 1, 0)), F.coalesce(other, F.slice(own, 1, 0)))
-    each = table.select("range", F.explode(parts).alias("v")).select("range", "v.place", "v.pair", F.explode("v.units").alias("u"))
-    return each.select("range", "place", "pair", "u.key", "u.sign")
+    here = F.col("place")
+    parts = F.array(
+        version("edited", "edited", here, "own", 1), version("edited", "edited", here, "new", -1),
+        version("next", "next", here, "own", 1), version("before", "next", here - 1, "own", -1),
+    )
+    each = table.select("range", F.explode(F.array_compact(parts)).alias("v"))
+    return each.select("range", "v.place", "v.pair", F.explode("v.units").alias("u")).select(*PAIR, "u.key", "u.sign")
+
+
+def _tasks(df: DataFrame) -> int:
+    """Partitions for tables by block: at least those of any shuffle, and one for a few hundred documents."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MOST_RANGES, df.count() // TASK_ROWS))
 
 
 def version_likeness(df: DataFrame, text: str = "text") -> DataFrame:
@@ -280,19 +304,16 @@ def version_likeness(df: DataFrame, text: str = "text") -> DataFrame:
     spark = df.sparkSession
     table = stored(_prepared(df, text), "versions")
     release(spark)
-    # One exchange by range; all that follows is by range and more, so that nothing moves again.
-    dealt = table.repartition("range").select(*ROW, "guest", "own", "new")
-    solved = None
-    todo = None
-    attempt = 0
+    tasks = _tasks(table)
+    keys = table.select(*ROW, "guest", "own", "new").repartition(tasks, "range")
+    real = F.col("guest") == 0
+    # The first row of a block has no document before it there, and a guest no pairs of its own.
+    inside = ~real | ((F.col("place") - 1).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) != 0)
+    wanted = keys.select("*", real.alias("edited"), real.alias("next"), (inside & (F.col("place") > 1)).alias("before"))
+    solved, attempt = None, 0
     while True:
-        units = _units(dealt)
-        if attempt == 0:
-            units = units.withColumn("size", F.lit(CELLS).cast("long"))
-        else:
-            # Only stuck pairs, with cells for all the paragraphs of both versions.
-            units = units.join(todo, PAIR)
-        got = stored(differences(units, PAIR, attempt), "version-differences")
+        # One exchange of digests by range; what follows is by range and more, so that no cell moves.
+        got = stored(differences(_units(wanted), PAIR, attempt), "version-differences")
         release(spark)
         done = got.filter("stuck = 0").select(*PAIR, "here", "there")
         solved = done if solved is None else solved.unionByName(done)
@@ -300,48 +321,50 @@ def version_likeness(df: DataFrame, text: str = "text") -> DataFrame:
         if not stuck.head(1):
             break
         attempt += 1
-        room = ROOMY * GROWTH ** (attempt - 1)
-        count = F.count(F.lit(1)) * room
-        sizes = _units(dealt).join(stuck, PAIR, "left_semi").groupBy(*PAIR).agg(F.greatest(F.lit(LEAST_ROOMY), count).cast("long").alias("size"))
-        todo = stored(sizes, "version-stuck")
+        following = F.when(F.col("pair") == "next", F.struct((F.col("place") + 1).alias("place"), F.lit("before").alias("flag")))
+        flags = F.array_compact(F.array(F.struct("place", F.col("pair").alias("flag")), following))
+        each = stuck.select("range", F.explode(flags).alias("f")).select("range", "f.*").repartition(tasks, "range")
+        # One row for each block, with places of one block: both sides of the join lie by block alone.
+        of = {f: F.collect_set(F.when(F.col("flag") == f, F.col("place"))).alias(f) for f in ("edited", "next", "before")}
+        joined = keys.join(each.groupBy("range").agg(*of.values()), "range")
+        wanted = joined.select(*keys.columns, *[F.array_contains(f, F.col("place")).alias(f) for f in of])
+    return _result(table, solved, tasks)
+
+
+def _result(table: DataFrame, solved: DataFrame, tasks: int) -> DataFrame:
+    """All sides lie by block alike, so that nothing moves for a join or aggregate."""
     apart = F.col("here") + F.col("there")
-    lost = solved.groupBy(*ROW).agg(
-        F.max(F.when(F.col("pair") == "edited", apart)).alias("lost_edited"),
-        F.max(F.when(F.col("pair") == "next", apart)).alias("lost_next"),
+    lost = solved.repartition(tasks, "range").groupBy(*ROW).agg(
+        F.max(F.when(F.col("pair") == "edited", apart)).alias("edited"),
+        F.max(F.when(F.col("pair") == "next", apart)).alias("next"),
     )
-    return _result(table, lost)
+    # The places of one block, whose number is fixed.
+    entry = F.struct("place", F.struct("edited", "next"))
+    lost = lost.groupBy("range").agg(F.map_from_entries(F.collect_list(entry)).alias("lost"))
+    rows = table.filter("guest = 0").drop("guest").repartition(tasks, "range").join(lost, "range", "left")
 
+    def near(one: str, other: str, pair: str) -> Column:
+        both = F.col(one) + F.col(other)
+        share = (both - F.coalesce(F.col("lost")[F.col("place")][pair], F.lit(0))) / F.nullif(both, F.lit(0))
+        return F.coalesce(share, F.lit(1.0)).cast("double")
 
-def _result(table: DataFrame, lost: DataFrame) -> DataFrame:
-    dealt = table.repartition("range")
+    facts = ["doc_id", "n_chars", "edited_sha256", "near_edited", "near_next"]
+    rows = rows.withColumns({"near_edited": near("n_own", "n_new", "edited"), "near_next": near("n_own", "n_next", "next")})
+    # A text without a paragraph has one unit that stands for none, so that its row is not lost.
+    none = F.array(F.struct(F.lit(None).cast("long").alias("key"), F.lit(0).cast("long").alias("sign")))
     sides = F.array(*[
-        F.struct(F.lit(side).alias("side"), _signed(keys, 1).alias("units")) for side, keys in ((0, "own"), (1, "new"))
+        F.struct(F.lit(side).alias("side"), F.concat(none, _signed(column, 1)).alias("units"))
+        for side, column in ((0, "own"), (1, "new"))
     ])
-    each = dealt.filter("guest = 0").select(*ROW, F.explode(sides).alias("s")).select(*ROW, "s.side", F.explode("s.units").alias("u"))
-    cells = sketch(each.select(*ROW, "side", "u.*", F.lit(CELLS).cast("long").alias("size")), [*ROW, "side"])
+    each = rows.select(*ROW, *facts, F.explode(sides).alias("s")).select(*ROW, *facts, "s.side", F.explode("s.units").alias("u"))
+    cells = sketch(each.select(*ROW, *facts, "side", "u.*"), [*ROW, *facts, "side"], empty=True)
     # A fixed number of cells for each of the two versions.
     listed = F.struct("cell", "n", "keys", "checks")
-    prints = cells.groupBy(*ROW).agg(
-        *[F.collect_list(F.when(F.col("side") == i, listed)).alias(c) for i, c in enumerate(("own_cells", "new_cells"))]
-    )
-    sizes = dealt.select(
-        *ROW, "guest", "doc_id", "n_chars", "edited_sha256", F.size("own").alias("n_own"), F.size("new").alias("n_new")
-    )
-    following = sizes.filter("place > 1").select("range", (F.col("place") - 1).alias("place"), F.col("n_own").alias("n_next"))
-    rows = sizes.filter("guest = 0").join(following, ROW).join(prints, ROW, "left").join(lost, ROW, "left")
-
-    def near(one: str, other: str, lost: str) -> Column:
-        both = F.col(one) + F.col(other)
-        share = (both - F.coalesce(lost, F.lit(0))) / F.nullif(both, F.lit(0))
-        return F.coalesce(share, F.lit(1.0)).cast("double")
-
-    none = F.expr("cast(array() as array<struct<cell: bigint, n: bigint, keys: bigint, checks: bigint>>)")
-    return rows.select(
-        "doc_id", "n_chars", "edited_sha256",
-        fingerprint(F.coalesce("own_cells", none)).alias("fingerprint"),
-        fingerprint(F.coalesce("new_cells", none)).alias("edited_fingerprint"),
-        near("n_own", "n_new", "lost_edited").alias("near_edited"),
-        near("n_own", "n_next", "lost_next").alias("near_next"),
+    own, new = (F.collect_list(F.when((F.col("side") == side) & (F.col("n") != 0), listed)) for side in (0, 1))
+    prints = cells.groupBy(*ROW, *facts).agg(own.alias("own"), new.alias("new"))
+    return prints.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),
+        fingerprint(F.col("new")).alias("edited_fingerprint"), "near_edited", "near_next",
     )
 
 

@@ -230,18 +230,15 @@ def test_versions_of_few_or_no_rows(make):
 
 
 def test_a_stuck_pair_is_peeled_from_a_larger_sketch_and_shows_its_digests(spark):
-    def difference(size, attempt):
-        units = spark.range(400).select(
-            F.lit(1).alias("pair"), F.xxhash64("id").alias("key"), F.when(F.col("id") < 150, 1).otherwise(-1).cast("long").alias("sign"),
-            F.lit(size).cast("long").alias("size"),
-        )
-        shared = units.withColumn("key", F.xxhash64(F.lit("both"), "key"))
-        return units.union(shared.withColumn("sign", F.lit(1).cast("long"))).union(shared.withColumn("sign", F.lit(-1).cast("long")))
-
-    small = version_sketch.differences(difference(8, 0), ["pair"], 0).first()
-    assert small["stuck"] > 0
-    large = version_sketch.differences(difference(1600, 1), ["pair"], 1).first()
+    sign = F.when(F.col("id") < 150, 1).otherwise(-1).cast("long")
+    apart = spark.range(400).select(F.lit(1).alias("pair"), F.xxhash64("id").alias("key"), sign.alias("sign"))
+    shared = apart.withColumn("key", F.xxhash64(F.lit("both"), "key"))
+    units = apart
+    for x in (1, -1):
+        units = units.union(shared.withColumn("sign", F.lit(x).cast("long")))
+    assert version_sketch.differences(units, ["pair"], 0).first()["stuck"] > 0
+    large = version_sketch.differences(units, ["pair"], 1).first()
     assert (large["here"], large["there"], large["stuck"]) == (150, 250, 0)
-    digests = version_sketch.recovered(difference(1600, 1), ["pair"], 1)
-    wanted = spark.range(400).select(F.xxhash64("id").alias("key"), F.when(F.col("id") < 150, 1).otherwise(-1).cast("long").alias("n"))
-    assert digests.select("key", "n").exceptAll(wanted).count() == 0 and digests.count() == 400
+    digests = version_sketch.recovered(units, ["pair"], 1).select("key", "n")
+    wanted = spark.range(400).select(F.xxhash64("id").alias("key"), sign.alias("n"))
+    assert digests.exceptAll(wanted).count() == 0 and digests.count() == 400
