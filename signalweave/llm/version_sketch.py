@@ -26,9 +26,11 @@ HASHES = 3
 # Cells of a fingerprint for each hash; where the fingerprints' difference cannot be peeled, each further attempt
 # has GROWTH times as many and other hashes.  Only cells in which something is are rows, so that more cells cost nothing.
 CELLS = 8
-GROWTH = 64
-# Rounds over all tables before an attempt is given up for a larger one.
+GROWTH = 512
+# Rounds over all tables before an attempt is given up for a larger one: a sketch with hundreds of times as many
+# cells is nearly always peeled by the first.
 ROUNDS = 3
+ROUNDS_LARGER = 1
 
 # Up to so many words of one sentence.
 PIECE = r"(?:[^\s.!?]++[^\S\n]*+){1,8}+"
@@ -94,13 +96,13 @@ def _merged(cells: DataFrame, by: list[str], empty: bool = False) -> DataFrame:
     return merged if empty else merged.filter("n != 0 OR keys != 0 OR checks != 0")
 
 
-def peel(cells: DataFrame, by: list[str], attempt: int = 0, rounds: int = ROUNDS) -> DataFrame:
-    """The cells after `rounds` rounds of peeling, with a row of `cell` -1 for every digest found.
+def peel(cells: DataFrame, by: list[str], attempt: int = 0) -> DataFrame:
+    """The cells after the attempt's rounds of peeling, with a row of `cell` -1 for every digest found.
 
     Such a row has the digest as `found`, and `n` tells the version that has it: 1 or -1.  A step looks at the cells of one
     table, in which a digest has one place only, so that no two cells can show the same one.
     """
-    size = cells_of(attempt)
+    size, rounds = cells_of(attempt), ROUNDS_LARGER if attempt else ROUNDS
     for table in [t for _ in range(rounds) for t in range(HASHES)]:
         here = (F.col("cell") >= table * size) & (F.col("cell") < (table + 1) * size)
         single = here & (F.abs("n") == 1) & (F.col("checks") == _check(F.col("keys")))
