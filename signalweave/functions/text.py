@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from signalweave.functions.matching import as_column
-from signalweave.functions.patterns import escape
+from signalweave.functions.patterns import alternation, escape
 
 # The clean-up patterns for text lines.
 NUMBERS = r"\d+?\.\d+|\.\d+|\d+-\d+|\d+/\d+|\d+/|-\d+|\d+|½|¼|⅔|¾/"
@@ -19,6 +19,7 @@ BRACKETS = r"\(.*?\)"
 
 SENTENCE_END = r"([.!?])\s+"
 SENTENCE_MARK = "\u0001"
+HELD_PERIOD = "\u0002"
 CLOSING = rf"([.,;:!?()\[\]\"]+)([\s{SENTENCE_MARK}]|\z)"
 OPENING = rf"(^|[\s{SENTENCE_MARK}])([(\[\"]+)"
 
@@ -67,24 +68,32 @@ def join_phrases(c: Column | str, phrases: Iterable[str]) -> Column:
     return column
 
 
-def _mark_sentences(c: Column) -> Column:
-    return F.regexp_replace(c, SENTENCE_END, f"$1{SENTENCE_MARK}")
+def _mark_sentences(c: Column, abbreviations: Sequence[str] = ()) -> Column:
+    if not abbreviations:
+        return F.regexp_replace(c, SENTENCE_END, f"$1{SENTENCE_MARK}")
+    # Periods of abbreviations are put aside while sentences are marked.
+    words = alternation(sorted(abbreviations, key=lambda w: (-len(w), w)))
+    held = F.regexp_replace(c, rf"""(?iu)(^|[\s"'(\[])({words})\.(?=\s)""", f"$1$2{HELD_PERIOD}")
+    return F.translate(F.regexp_replace(held, SENTENCE_END, f"$1{SENTENCE_MARK}"), HELD_PERIOD, ".")
 
 
-def sentences(c: Column | str) -> Column:
-    """Sentences: cut after . ! ? where white space follows."""
-    return F.split(_mark_sentences(as_column(c)), SENTENCE_MARK, -1)
+def sentences(c: Column | str, abbreviations: Sequence[str] = ()) -> Column:
+    """Sentences: cut after . ! ? where white space follows, but not after an abbreviation's period.
+
+    `abbreviations` are words without their last period, in any case; see `operators.abbreviations`.
+    """
+    return F.split(_mark_sentences(as_column(c), abbreviations), SENTENCE_MARK, -1)
 
 
-def sentence_words(c: Column | str) -> Column:
-    """ARRAY of sentences, each an ARRAY of tokens.
+def sentence_words(c: Column | str, abbreviations: Sequence[str] = ()) -> Column:
+    """ARRAY of sentences, each an ARRAY of tokens; sentences are cut as by `sentences`.
 
     Tokens are separated by white space; punctuation around a word is a token of its own.  The
     expressions run over the whole text before it is split at single characters: a split at an
     expression would compile it for every sentence.
     """
     column = as_column(c)
-    text = F.regexp_replace(_mark_sentences(column), CLOSING, " $1 $2")
+    text = F.regexp_replace(_mark_sentences(column, abbreviations), CLOSING, " $1 $2")
     opens = column.contains("(") | column.contains("[") | column.contains('"')
     text = F.when(opens, F.regexp_replace(text, OPENING, "$1 $2 ")).otherwise(text)
     text = F.regexp_replace(text, r"[\t-\r]", " ")
