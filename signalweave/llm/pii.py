@@ -61,11 +61,17 @@ def emails(text: str) -> Iterator[Span]:
         at = text.find("@", max(at + 1, done))
 
 
+def _byte(part: str) -> bool:
+    """Whether digits of any number, zeros before them included, say 255 at most."""
+    value = part.lstrip("0")
+    return len(value) < 3 or (len(value) == 3 and value <= "255")
+
+
 def plain_spans(text: str) -> list[Span]:
     """The plain identifiers: leftmost, non-overlapping per kind, checked, without retries."""
     found: list[Span] = list(emails(text))
     for m in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.groups()):
+        if all(map(_byte, m.groups())):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = _digits(m.group())
@@ -148,17 +154,21 @@ _PAIR = re.compile(rf"\b(?:{_NAME})[\s,.()-]{{1,4}}(?:{_NAME}|{_SIGN}|[0-9])")
 _NAMES = re.compile(rf"(?i)\b(?:{_NAME})(?:{_LINK}(?:{_NAME}|[0-9]+)\b){{3,}}")
 _ONE_NAME = re.compile(rf"(?i)\b(?:{_NAME}|{_SIGN})\b")
 _PLUS = re.compile(r"(?i)\bplus[\s-]+(?=[0-9])")
-_AT = re.compile(rf"(?i)(?:\s*[\[({{<]\s*|[_-])(?:{_AT_NAME}|@)(?:\s*[\])}}>]\s*|[_-])")
-_DOT = re.compile(rf"(?i)(?:\s*[\[({{<]\s*|[_-])(?:{_DOT_NAME}|\.)(?:\s*[\])}}>]\s*|[_-])")
+# A run of blanks is looked at from its first one only.
+_AT = re.compile(rf"(?i)(?:(?<!\s)\s*[\[({{<]\s*|[_-])(?:{_AT_NAME}|@)(?:\s*[\])}}>]\s*|[_-])")
+_DOT = re.compile(rf"(?i)(?:(?<!\s)\s*[\[({{<]\s*|[_-])(?:{_DOT_NAME}|\.)(?:\s*[\])}}>]\s*|[_-])")
 _IN_BRACKETS = rf"\s*[\[({{<]\s*{_DOT_NAME}\s*[\])}}>]\s*"
 # A whole address in words: its local part, "at", and a domain whose last dot is a word, bare or in
 # brackets, or a plain domain after a local part that no ordinary word looks like.
 _SPELLED_DOT = rf"(?:\s+{_DOT_NAME}\s+|{_IN_BRACKETS})"
-_AT_WORDS = re.compile(
-    rf"(?i)(?<![\w.%+-])(?:"
-    rf"[a-z0-9][a-z0-9._%+-]*(?:{_SPELLED_DOT}[a-z0-9_%+-]+)*(?P<at>\s+{_AT_NAME}\s+|\s*@\s*)"
+_TOKEN = re.compile(r"(?i)(?<![\w.%+-])[a-z0-9._%+-]")
+_CHAIN = re.compile(rf"(?i)[a-z0-9][a-z0-9._%+-]*+(?:{_SPELLED_DOT}(?P<last>[a-z0-9_%+-]++))*+")
+_SPELLED_DOMAIN = re.compile(
+    rf"(?i)(?P<at>\s+{_AT_NAME}\s+|\s*@\s*)"
     rf"[a-z0-9-]+(?:(?:{_SPELLED_DOT}|\s*\.\s*)[a-z0-9-]+)*?(?:{_SPELLED_DOT}[a-z]{{2,}}\b)+"
-    rf"|[a-z]*[0-9._%+-][a-z0-9._%+-]*(?P<plain>\s+{_AT_NAME}\s+|\s+@\s*|\s*@\s+)[a-z0-9-]+(?:\.[a-z0-9-]+)+)"
+)
+_PLAIN_DOMAIN = re.compile(
+    rf"(?i)[a-z]*[0-9._%+-][a-z0-9._%+-]*(?P<at>\s+{_AT_NAME}\s+|\s+@\s*|\s*@\s+)[a-z0-9-]+(?:\.[a-z0-9-]+)+"
 )
 _DOT_WORDS = re.compile(rf"(?i){_SPELLED_DOT}|\s*\.\s*")
 # What a text must have for any of these: a bracketed word or sign, a bare "at" with a dot after it, an @
@@ -217,15 +227,31 @@ def digits(work: Rewritten, lowered: str) -> set[int]:
     return spelled
 
 
+def _spelled_addresses(text: str) -> Iterator[tuple[int, tuple[int, int], int]]:
+    """Start, place of the "at" and end of each whole address in words, from left to right.
+
+    A chain of words and spelled dots is read once.  If no "at" follows it, none follows a part of it that begins
+    later, but for its last word, which may hold plain dots where it comes first.
+    """
+    at = 0
+    while token := _TOKEN.search(text, at):
+        begin = token.start()
+        chain = _CHAIN.match(text, begin)
+        found = chain and _SPELLED_DOMAIN.match(text, chain.end()) or _PLAIN_DOMAIN.match(text, begin)
+        if found:
+            yield begin, found.span("at"), found.end()
+            at = found.end()
+        else:
+            at = chain.start("last") if chain and chain["last"] else begin + 1
+
+
 def _addresses(work: Rewritten) -> None:
     """Whole addresses in words to plain ones."""
     changes = []
-    for m in _AT_WORDS.finditer(work.text):
-        which = "at" if m["at"] else "plain"
-        a, b = m.span(which)
-        changes += [(*dot.span(), ".") for dot in _DOT_WORDS.finditer(work.text, m.start(), a) if dot.group() != "."]
+    for begin, (a, b), end in _spelled_addresses(work.text):
+        changes += [(*dot.span(), ".") for dot in _DOT_WORDS.finditer(work.text, begin, a) if dot.group() != "."]
         changes.append((a, b, "@"))
-        changes += [(*dot.span(), ".") for dot in _DOT_WORDS.finditer(work.text, b, m.end()) if dot.group() != "."]
+        changes += [(*dot.span(), ".") for dot in _DOT_WORDS.finditer(work.text, b, end) if dot.group() != "."]
     if changes:
         work.replace(changes)
 
@@ -266,14 +292,21 @@ def disguised_spans(text: str) -> list[Span]:
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """The plain spans, and these with the disguised ones that no span of their kind covers."""
+    """The plain spans, and these with the disguised ones that lie in no other span.
+
+    Spans are swept from left to right, the plain one and the longer one first: what lies in another ends no later
+    than the furthest end so far.
+    """
     base = sorted(plain_spans(text), key=lambda s: (s[1], KINDS.index(s[0])))
-    every = list(base)
-    covered = [(a, b) for _, a, b in base]
-    for kind, a, b in sorted(disguised_spans(text), key=lambda s: (s[1] - s[2], s[1], KINDS.index(s[0]))):
-        if not any(x <= a and b <= y for x, y in covered):
-            every.append((kind, a, b))
-            covered.append((a, b))
+    disguised = disguised_spans(text)
+    if not disguised:
+        return base, sorted(base, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+    tagged = [(a, -b, 0, k) for k, a, b in base] + [(a, -b, 1 + KINDS.index(k), k) for k, a, b in disguised]
+    every, reach = list(base), 0
+    for a, minus, order, kind in sorted(tagged):
+        if order and -minus > reach:
+            every.append((kind, a, -minus))
+        reach = max(reach, -minus)
     return base, sorted(every, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -285,7 +318,8 @@ def personal_data(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str
     """The kept columns, counts of plain spans per kind, their digest, and all spans.
 
     Spans are code points of the source, end exclusive.  NULL counts as an empty text: no spans, the
-    digest of the empty string.  Rows are independent; no other column is read.
+    digest of the empty string.  Rows are independent; no other column is read.  Time and memory of a text grow with
+    its length, also where it repeats one disguise over and over.
     """
 
     def values() -> Callable:

@@ -16,7 +16,7 @@ its bytes.
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,8 +77,9 @@ def runs(data: bytes, length: int = LENGTH, seed: int = SEED) -> Iterator[tuple[
         yield first + at, counts, own + at, hashes[own].view(np.int64)
 
 
-def text_key(data: bytes) -> int:
-    return zlib.crc32(data)
+def text_key(data: bytes) -> bytes:
+    """What tells texts apart that have one id or none: 128 bits of a SHA-256."""
+    return hashlib.sha256(data).digest()[:16]
 
 
 def _halves(data: bytes) -> tuple[int, int]:
@@ -163,10 +164,11 @@ def _chosen_runs(
                     rows = [r for r, good in zip(rows, passed) if good]
                 at, *rest = zip(*rows) if rows else [[] for _ in columns]
                 ids = part.column("doc_id").take(pa.array(at, pa.int64()))
-                arrays = [pa.array(c, pa.int64()) for c in rest[:-1]] + [pa.array(rest[-1], pa.binary())]
+                key, *numbers, data = rest
+                arrays = [pa.array(key, pa.binary()), *[pa.array(c, pa.int64()) for c in numbers], pa.array(data, pa.binary())]
                 yield pa.RecordBatch.from_arrays([ids, *arrays], names=columns)
 
-    schema = f"doc_id {kind}, key long, start long, n long, slot long, rank long, a long, b long, bytes binary"
+    schema = f"doc_id {kind}, key binary, start long, n long, slot long, rank long, a long, b long, bytes binary"
     return df.select("doc_id", "_text").mapInArrow(run, schema)
 
 
@@ -287,7 +289,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, seed: int = SEED, text:
             spans = pa.array(lists, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans], names=["doc_id", "key", "spans"])
 
-    return listed.mapInArrow(merge, f"doc_id {kind}, key long, spans array<long>")
+    return listed.mapInArrow(merge, f"doc_id {kind}, key binary, spans array<long>")
 
 
 def maximal(packed: np.ndarray, length: int) -> list[int]:
@@ -309,7 +311,7 @@ def without_repeats(df: DataFrame, length: int = LENGTH, seed: int = SEED, text:
     may be NULL or the same for different texts; no column but the id and the text is read.
     """
     checked = df.select(df["doc_id"], df[text].alias("_text")).withColumn(
-        "key", F.crc32(F.coalesce("_text", F.lit("")).cast("binary"))
+        "key", F.substring(F.unhex(F.sha2(F.coalesce("_text", F.lit("")).cast("binary"), 256)), 1, 16)
     )
     found = stored(repeated_spans(df, length, seed, text), "suffix-spans")
     release(df.sparkSession)
