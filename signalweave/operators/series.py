@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from signalweave.operators.ranking import numbered
+
 COUNT_KEYS = ("time_month", "country", "category", "negative")
 SERIES_KEYS = ("country", "category")
 OTHER = "neutral-positive"
@@ -110,3 +112,32 @@ def quartiles(
     for place, q in enumerate(quantiles):
         picked = picked.withColumn(f"percentile_{round(q * 100)}", F.col("_q")[place])
     return picked.drop("_q")
+
+
+def range_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float] = (0.25, 0.5, 0.75)
+) -> DataFrame:
+    """The keys and `n`, `q<percent>` of each group: exact, by linear interpolation, for groups of any size.
+
+    All rows are put into the order of keys and value by ranges, and the rows at the wanted places are looked up, so
+    that no task holds a group.  Rows without a value or a key do not count; a NaN is the greatest value.
+    """
+    names = [f"_g{i}" for i in range(len(keys))]
+    rows = with_keys(df, keys).filter(_quoted(value).isNotNull())
+    rows = rows.select(*[_quoted(k).alias(n) for k, n in zip(keys, names)], _quoted(value).cast("double").alias("_value"))
+    placed = numbered(rows, [*names, "_value"])
+    groups = placed.groupBy(*names).agg(F.min("position").alias("_begin"), F.count(F.lit(1)).alias("n"))
+    at = [F.lit(p) * (F.col("n") - 1) for p in probabilities]
+    ends = F.array(*[
+        F.struct(F.lit(i).alias("_i"), (F.col("_begin") + edge(x).cast("bigint")).alias("position"), (x - F.floor(x)).alias("_share"), F.lit(high).alias("_high"))
+        for i, x in enumerate(at)
+        for high, edge in ((False, F.floor), (True, F.ceil))
+    ])
+    wanted = groups.select(*names, "n", F.explode(ends).alias("_e")).select(*names, "n", "_e.*")
+    found = wanted.join(placed.select("position", "_value"), "position")
+    part = F.when(F.col("_share") == 0, F.when(F.col("_high"), 0.0).otherwise(F.col("_value"))).otherwise(
+        F.col("_value") * F.when(F.col("_high"), F.col("_share")).otherwise(1 - F.col("_share"))
+    )
+    quantiles = [F.sum(F.when(F.col("_i") == i, part)).alias(f"q{round(100 * p):02d}") for i, p in enumerate(probabilities)]
+    answer = found.groupBy(*names, "n").agg(*quantiles)
+    return answer.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], "n", *[f"q{round(100 * p):02d}" for p in probabilities])

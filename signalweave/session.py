@@ -36,10 +36,14 @@ def build_session(
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one the cluster names in spark.checkpoint.dir.
 
-    A machine-local folder is used only where that setting is absent (tests, laptops).
+    A machine-local folder is used only where that setting is absent and the session is a local one (tests,
+    laptops).  On a cluster each executor would write to a disk of its own, so that the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder (master {master})")
         return tempfile.mkdtemp(prefix=f"{purpose}-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 

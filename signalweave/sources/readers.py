@@ -53,10 +53,16 @@ def name_part(after: str, before: str = ".", name: Column | None = None) -> Colu
     return F.substring_index(tail, before, 1)
 
 
-def read_result_pages(spark: SparkSession, path: Paths) -> DataFrame:
-    """Landed JSON result pages to one row per post; pages without results give no rows."""
+def read_result_pages(spark: SparkSession, path: Paths, meta: bool = False) -> DataFrame:
+    """Landed JSON result pages to one row per post; pages without results give no rows.
+
+    With `meta` the page's `result_count` and `next_token` come with each of its posts; see
+    `operators.pages` for the order of pages.
+    """
     pages = spark.read.schema(RESULT_PAGES).json(path)
-    return pages.select("meta.result_count", F.explode("data").alias("post")).select("post.*")
+    kept = ["meta.result_count", "meta.next_token"] if meta else []
+    rows = pages.select("meta", F.explode("data").alias("post"))
+    return rows.select("post.*", *kept)
 
 
 def total_results(spark: SparkSession, path: Paths) -> DataFrame:
