@@ -63,19 +63,38 @@ def _lines(df: DataFrame, text: str, least: int | None) -> DataFrame:
     return explode_once(source.select("id", F.col(text)), "line", long).select("id", "line", *_key("line"))
 
 
-def _segments(length: Column, parts: int) -> list[tuple[Column, Column]]:
-    """Start (from 1) and size of each segment of a line of `length` characters; later ones take the rest."""
-    base, rest = F.floor(length / parts).cast("int"), F.pmod(length, F.lit(parts)).cast("int")
-    found = []
-    for i in range(parts):
-        longer = F.greatest(F.lit(0), i - (parts - rest))
-        size = base + F.when(F.lit(i) >= parts - rest, 1).otherwise(0)
-        found.append((i * base + longer + 1, size))
-    return found
+INDEX = -1
+
+
+def _places(edits: int) -> list[tuple[int, int, int]]:
+    """What a line is filed under and asks for: INDEX or by how much the other line is shorter, segment and move.
+
+    Filed are the segments of the line.  Asked for are all substrings that can be a segment of a line as long as this or up to
+    `edits` shorter: a segment moves by as many places as edits lie before it and, counted from the end, after it.
+    """
+    asked = [
+        (less, i, move)
+        for less in range(edits + 1)
+        for i in range(edits + 1)
+        for move in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)
+    ]
+    return [(INDEX, i, 0) for i in range(edits + 1)] + asked
 
 
-def _entry(length: Column, i: int, piece: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), piece)
+def segment_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """`key`, `h`, `kind` of every place of every line: one explode, then one expression for all places.
+
+    An array of as many key expressions would be a method too large for the JVM to compile.
+    """
+    parts = edits + 1
+    places = [F.struct(F.lit(k).alias("kind"), F.lit(i).alias("i"), F.lit(m).alias("move")) for k, i, m in _places(edits)]
+    each = lines.select("h", "line", "size", F.explode(F.array(*places)).alias("p")).select("h", "line", "size", "p.*")
+    other = F.col("size") - F.greatest("kind", F.lit(0))
+    base, rest = F.floor(other / parts).cast("int"), F.pmod(other, F.lit(parts))
+    longer = F.greatest(F.lit(0), F.col("i") - (parts - rest))
+    start = F.col("i") * base + longer + 1 + F.col("move")
+    size = base + F.when(F.col("i") >= parts - rest, 1).otherwise(0)
+    return each.select(F.xxhash64(other, "i", F.substring(F.col("line"), start, size)).alias("key"), "h", "kind")
 
 
 def _keyed(key: Column, less: Column | int, first: Column | None = None, last: Column | None = None) -> Column:
@@ -86,28 +105,6 @@ def _keyed(key: Column, less: Column | int, first: Column | None = None, last: C
     return F.struct(key.alias("key"), less.alias("less"), first.alias("x"), last.alias("y"))
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    """One key per segment of the line."""
-    return F.array(*[
-        _keyed(_entry(length, i, F.substring(line, start, size)), 0)
-        for i, (start, size) in enumerate(_segments(length, edits + 1))
-    ])
-
-
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of all substrings that can be a segment of a line as long as this or up to `edits` shorter.
-
-    A segment moves by as many places as edits lie before it and, counted from the end, after it.
-    """
-    keys = []
-    for less in range(edits + 1):
-        other = length - less
-        for i, (start, size) in enumerate(_segments(other, edits + 1)):
-            for move in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                keys.append(_keyed(_entry(other, i, F.substring(line, start + move, size)), less))
-    return F.array(*keys)
-
-
 def _patterns(edits: int, moves) -> list[tuple[int, int, list[tuple[int, int, int]]]]:
     """All ways to leave out `edits` of edits + FINER segments: a number for the way, by how much the other
     line is shorter, and first segment, last segment and move of each stretch between those left out.
@@ -309,8 +306,15 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
         return rows.select(name, *fields).repartition("key").distinct()
 
     line, size = F.col("line"), F.col("size")
-    index = keyed(some, index_keys(line, size, edits), "a")
-    probe = keyed(some, probe_keys(line, size, edits), "b")
+    # One shuffle of all keys.  Most keys belong to one line, its copies included, and go at once.
+    filed = segment_keys(some, edits).repartition("key")
+    live = filed.groupBy("key").agg(
+        F.min("h").alias("low"), F.max("h").alias("high"), F.min("kind").alias("least"), F.max("kind").alias("most")
+    )
+    live = live.filter(f"low != high AND least = {INDEX} AND most > {INDEX}").select("key")
+    met = stored(filed.join(live, "key", "left_semi").distinct(), "line-keys")
+    index = met.filter(F.col("kind") == INDEX).select("key", F.col("h").alias("a"))
+    probe = met.filter(F.col("kind") != INDEX).select("key", F.col("h").alias("b"), F.col("kind").alias("b_less"))
     # One job over one shuffle: pairs where few lines share a segment, so that a line has a bounded
     # number of them, and the lines by themselves where many do.
     shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("sharing"))

@@ -149,9 +149,14 @@ def test_banded_distance_and_segments(spark, edits):
         a, b = index(short, F.char_length(short), edits), probe(long, F.char_length(long), edits)
         return F.exists(a, lambda x: F.exists(b, lambda y: (x.key == y.key) & (x.x.isNull() | ((x.x != y.x) & (x.y != y.y)))))
 
-    meet = meeting(line_dedup.index_keys, line_dedup.probe_keys)
     near = df.filter((F.col("d") <= edits) & (F.col("a") != F.col("b")))
-    assert near.filter(~meet).count() == 0
+
+    def keys(line, kind):
+        found = line_dedup.segment_keys(near.select(F.xxhash64("a", "b").alias("h"), line.alias("line"), F.char_length(line).alias("size")), edits)
+        return found.filter(kind).select("h", "key").distinct()
+
+    filed, asked = keys(short, F.col("kind") == line_dedup.INDEX), keys(long, F.col("kind") != line_dedup.INDEX)
+    assert filed.join(asked, ["h", "key"]).select("h").distinct().count() == near.select("a", "b").distinct().count()
     named = near.withColumnsRenamed({"a": "a_line", "b": "b_line"})
     assert line_dedup._likely(named, edits).count() == near.count()
     # Finer keys need segments of a character at least to say anything; they hold for all lengths.
