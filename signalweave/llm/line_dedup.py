@@ -434,7 +434,7 @@ def without_repeated_lines(
 
 def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
-    left = without_repeated_lines(docs, counts=("n_lines", "n_removed", "n_near"))
+    left = without_repeated_lines(docs, least=None, counts=("n_lines", "n_removed", "n_near"), by_row=True)
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return left.select("doc_id", "n_lines", "n_removed", "n_near", digest.alias("kept_sha256"))
 
@@ -442,27 +442,29 @@ def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
 # The distance function of SQL counts bytes, so letters of two bytes are first given one each.
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, coalesce(doc_id, 9223372036854775807) AS id, string_split(text, chr(10)) AS l FROM documents),
-p AS (SELECT doc_id, id, i, l[i] AS line FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM d)),
-o AS (SELECT DISTINCT id, line FROM p WHERE length(line) >= 30),
+  SELECT doc_id, row_number() OVER (ORDER BY coalesce(doc_id, 9223372036854775807)) AS id, string_split(text, chr(10)) AS l
+  FROM documents),
+p AS (SELECT id, i, l[i] AS line FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM d)),
+o AS (SELECT DISTINCT id, line FROM p WHERE regexp_matches(line, '[\p{L}\p{N}]')),
 t AS (
   SELECT line, min(id) AS since, length(line) AS n,
          translate(line, 'äöüßàâçéèêëîôûùñáíóúÄÖÜÇÉÈÊÑÍÓ', array_to_string([chr(x::INTEGER) for x in range(1, 32) if x <> 10], '')) AS flat
   FROM o GROUP BY line),
 near AS (
-  SELECT DISTINCT b.line FROM (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM t) AS a JOIN t AS b ON a.m = b.n
-  WHERE (a.since < b.since OR (a.since = b.since AND a.line < b.line)) AND levenshtein(a.flat, b.flat) <= 2),
+  SELECT DISTINCT b.line FROM (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM t WHERE n >= 15) AS a JOIN t AS b ON a.m = b.n
+  WHERE b.n >= 15 AND (a.since < b.since OR (a.since = b.since AND a.line < b.line))
+    AND levenshtein(a.flat, b.flat) <= least(2, a.n // 15, b.n // 15)),
 m AS (SELECT t.line, since, near.line IS NOT NULL AS near FROM t LEFT JOIN near USING (line)),
 r AS (
-  SELECT doc_id, p.id, i, line,
-         m.line IS NOT NULL AND (near OR since < p.id OR row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1) AS gone
+  SELECT p.id, i, line,
+         m.line IS NOT NULL AND (near OR since < p.id OR row_number() OVER (PARTITION BY p.id, line ORDER BY i) > 1) AS gone
   FROM p LEFT JOIN m USING (line)),
 s AS (
-  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+  SELECT id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
          string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
-  FROM r GROUP BY doc_id),
+  FROM r GROUP BY id),
 c AS (SELECT id, count(*) AS n FROM o JOIN m USING (line) WHERE near GROUP BY id)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(c.n, 0) AS n_near,
        sha256(coalesce(kept, '')) AS kept_sha256
-FROM d LEFT JOIN s USING (doc_id) LEFT JOIN c USING (id)
+FROM d LEFT JOIN s USING (id) LEFT JOIN c USING (id)
 """
