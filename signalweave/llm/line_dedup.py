@@ -306,13 +306,14 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
         return rows.select(name, *fields).repartition("key").distinct()
 
     line, size = F.col("line"), F.col("size")
-    # One shuffle of all keys.  Most keys belong to one line, its copies included, and go at once.
+    # One shuffle of all keys, which both sides below start from (the one through `distinct`, without which the join
+    # would have an exchange of its own).  Most keys belong to one line, its copies included, and go at once.
     filed = segment_keys(some, edits).repartition("key")
     live = filed.groupBy("key").agg(
         F.min("h").alias("low"), F.max("h").alias("high"), F.min("kind").alias("least"), F.max("kind").alias("most")
     )
     live = live.filter(f"low != high AND least = {INDEX} AND most > {INDEX}").select("key")
-    met = stored(filed.join(live, "key", "left_semi").distinct(), "line-keys")
+    met = stored(filed.distinct().join(live, "key", "left_semi"), "line-keys")
     index = met.filter(F.col("kind") == INDEX).select("key", F.col("h").alias("a"))
     probe = met.filter(F.col("kind") != INDEX).select("key", F.col("h").alias("b"), F.col("kind").alias("b_less"))
     # One job over one shuffle: pairs where few lines share a segment, so that a line has a bounded
