@@ -70,15 +70,15 @@ def _places(edits: int) -> list[tuple[int, int, int]]:
     """What a line is filed under and asks for: INDEX or by how much the other line is shorter, segment and move.
 
     Filed are the segments of the line.  Asked for are all substrings that can be a segment of a line as long as this or up to
-    `edits` shorter: a segment moves by as many places as edits lie before it and, counted from the end, after it.
+    `edits` shorter: a segment moves by as many places as edits lie before it and, counted from the end, after it.  What a line is
+    filed under it asks for too, of lines of its length.
     """
-    asked = [
-        (less, i, move)
+    return [
+        (INDEX if less == move == 0 else less, i, move)
         for less in range(edits + 1)
         for i in range(edits + 1)
         for move in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)
     ]
-    return [(INDEX, i, 0) for i in range(edits + 1)] + asked
 
 
 def segment_keys(lines: DataFrame, edits: int) -> DataFrame:
@@ -306,16 +306,15 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
         return rows.select(name, *fields).repartition("key").distinct()
 
     line, size = F.col("line"), F.col("size")
-    # One shuffle of all keys, which both sides below start from (the one through `distinct`, without which the join
-    # would have an exchange of its own).  Most keys belong to one line, its copies included, and go at once.
+    # One shuffle of all keys for both sides below: a filter that every row passes keeps the join from making an
+    # exchange of its own.  Most keys belong to one line, its copies included, and go at once.
     filed = segment_keys(some, edits).repartition("key")
-    live = filed.groupBy("key").agg(
-        F.min("h").alias("low"), F.max("h").alias("high"), F.min("kind").alias("least"), F.max("kind").alias("most")
-    )
-    live = live.filter(f"low != high AND least = {INDEX} AND most > {INDEX}").select("key")
-    met = stored(filed.distinct().join(live, "key", "left_semi"), "line-keys")
+    live = filed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.min("kind").alias("least"))
+    live = live.filter(f"low != high AND least = {INDEX}").select("key")
+    met = filed.filter(F.spark_partition_id() >= 0).join(live, "key", "left_semi")
+    met = stored(met.distinct(), "line-keys")
     index = met.filter(F.col("kind") == INDEX).select("key", F.col("h").alias("a"))
-    probe = met.filter(F.col("kind") != INDEX).select("key", F.col("h").alias("b"), F.col("kind").alias("b_less"))
+    probe = met.select("key", F.col("h").alias("b"), F.greatest("kind", F.lit(0)).alias("b_less"))
     # One job over one shuffle: pairs where few lines share a segment, so that a line has a bounded
     # number of them, and the lines by themselves where many do.
     shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("sharing"))
