@@ -8,8 +8,10 @@ trained model is scored with one number per table row.
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,7 +30,12 @@ ROUNDS = 8
 RATE = 8.0
 CACHED = 200_000
 #: A word that repeats the one before it is a feature of its own, as words of later texts are unseen.
+#: Without it, a mean of n-gram vectors takes a text of one unseen word for a good one.
 REPEAT = 0
+# A longer run without blanks counts as words of this many bytes; so many words are worked on at a time.
+LONGEST_WORD, PIECE_WORDS = 1024, 2000
+
+_WORD = re.compile(rb"\S{1,%d}" % LONGEST_WORD)
 
 
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -56,18 +63,27 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(rows, 1), np.concatenate(owners)
 
 
-def repeats(words: list[bytes]) -> int:
-    return sum(map(bytes.__eq__, words, words[1:]))
+def pieces(text: bytes) -> Iterator[tuple[list[bytes], int]]:
+    """The words of a text, a bounded number of bounded words at a time, and how many repeat the word before."""
+    words = (found[0] for found in _WORD.finditer(text))
+    last = b""
+    while some := list(islice(words, PIECE_WORDS)):
+        yield some, sum(map(bytes.__eq__, [last, *some], some))
+        last = some[-1]
 
 
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct table rows of a text and how often each occurs."""
-    words = text.split()
-    if not words:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    rows, _ = grams(words)
-    rows = np.concatenate((rows, np.full(4 * repeats(words), REPEAT)))
-    return np.unique(rows, return_counts=True)
+    at, n = np.empty(0, np.int64), np.empty(0, np.int64)
+    for words, again in pieces(text):
+        rows = np.concatenate((grams(words)[0], np.full(4 * again, REPEAT)))
+        own, count = np.unique(rows, return_counts=True)
+        if len(at):
+            both = np.bincount(at, n, 1 << HASH_BITS) + np.bincount(own, count, 1 << HASH_BITS)
+            own = np.flatnonzero(both)
+            count = both[own].astype(np.int64)
+        at, n = own, count
+    return at, n
 
 
 def packed(at: np.ndarray, n: np.ndarray) -> bytes:
@@ -104,7 +120,7 @@ def pass_over(model: np.ndarray, rows: pd.DataFrame, step: int) -> np.ndarray:
 
 
 def train(rows: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """A score per table row and a bias, learnt from `doc_id`, `text`, `label`, `shard`."""
+    """A score per table row and a bias, learnt from `doc_id`, `text`, `label`, `shard`; each row counts, also of one id."""
 
     def values():
         def columns(texts: list[bytes]):
@@ -128,7 +144,8 @@ def score(
     """The kept columns and `score`, the probability that a text is of good quality.
 
     A NULL or empty text has only the bias.  Rows are independent; no column but the text is read.
-    The broadcast table has a fixed number of rows; the cache of words is bounded.
+    The broadcast table has a fixed number of rows; the cache of words is bounded.  A text of any
+    length is read whole, in pieces; more than LONGEST_WORD bytes without a blank are several words.
     """
     sent = df.sparkSession.sparkContext.broadcast((table, bias))
 
@@ -145,11 +162,8 @@ def score(
             known.update(zip(words, zip(sums, counts)))
 
         def one(text: bytes) -> float:
-            words = text.split()
             total = count = 0.0
-            # Long texts are looked up piece by piece, so that the cache stays bounded.
-            for at in range(0, len(words), CACHED):
-                some = words[at : at + CACHED]
+            for some, again in pieces(text):
                 new = {w for w in some if w not in known}
                 if new:
                     if len(known) + len(new) > CACHED:
@@ -157,11 +171,8 @@ def score(
                         new = set(some)
                     learn(list(new))
                 got = np.array([known[w] for w in some])
-                total += got[:, 0].sum()
-                count += got[:, 1].sum()
-            again = 4 * repeats(words)
-            total += again * table[REPEAT]
-            count += again
+                total += got[:, 0].sum() + 4 * again * table[REPEAT]
+                count += got[:, 1].sum() + 4 * again
             return bias + (total / count if count else 0.0)
 
         def column(texts: list[bytes]):

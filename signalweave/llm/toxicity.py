@@ -1,7 +1,8 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Every coordinate has a learning rate of its own and an L1 penalty, so that most weights are exactly
-zero; what is broadcast for scoring is the short list of the others.
+zero; what is broadcast for scoring is the short list of the others.  The penalty and the rarity of
+toxic texts pull all scores down, so a fold that has no part in the weights sets scale and bias.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ HASH_BITS = 19
 SKIPS = 2
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.0, 0.1
 ROUNDS = 4
+# Of the folds that may be learnt from, the one that sets the decision and has no part in the weights.
+CALIBRATION = 1
 
 _MARKS = re.compile(r"[^\w\s]+")
 
@@ -74,6 +77,52 @@ def pass_over(model: np.ndarray, rows: pd.DataFrame, step: int) -> np.ndarray:
     return model
 
 
+def calibration(logits: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple[float, float]:
+    """Scale and shift that turn logits into log-odds; a label weighs as the root of how many rows it has.
+
+    A logistic fit by Newton steps.  Its targets are a little inside of 0 and 1, so that labels that
+    the logits separate have a finite fit.  Without rows of both labels nothing is changed.
+    """
+    toxic = np.asarray(labels) == 1
+    n1, n0 = int(toxic.sum()), int((~toxic).sum())
+    if not n1 or not n0:
+        return 1.0, 0.0
+    target = np.where(toxic, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    weight = np.where(toxic, n1**-0.5, n0**-0.5) / (n1**0.5 + n0**0.5)
+    middle, spread = float(np.mean(logits)), float(np.std(logits)) or 1.0
+    x = np.column_stack(((logits - middle) / spread, np.ones(len(logits))))
+    fit = np.zeros(2)
+
+    def loss(fit: np.ndarray) -> float:
+        z = x @ fit
+        return float(weight @ (np.logaddexp(0, z) - target * z))
+
+    for _ in range(steps):
+        odds = probability(x @ fit)
+        slope = x.T @ (weight * (odds - target))
+        curve = (x.T * (weight * odds * (1 - odds))) @ x + 1e-9 * np.eye(2)
+        move, size = np.linalg.solve(curve, slope), 1.0
+        while size > 1e-6 and loss(fit - size * move) > loss(fit):
+            size /= 2
+        fit = fit - size * move
+    if fit[0] <= 0:  # logits that say nothing keep their order
+        return 1.0, 0.0
+    return float(fit[0] / spread), float(fit[1] - fit[0] * middle / spread)
+
+
+def calibrated(rows: DataFrame, at: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The weights, scaled, and the bias, shifted, by labelled `rows` (`text`, `label`) of a bounded sample."""
+    got = score(rows, at, w, keep=("label",)).collect()
+    odds = np.clip(np.array([r["score"] for r in got]), 1e-15, 1 - 1e-15)
+    scale, shift = calibration(np.log(odds / (1 - odds)), np.array([r["label"] for r in got]))
+    last = 1 << HASH_BITS
+    if last not in at:
+        at, w = np.append(at, last), np.append(w, 0.0)
+    w = w * scale
+    w[at == last] += shift
+    return at, w
+
+
 def train(rows: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Coordinates and weights that are not zero, learnt from `doc_id`, `text`, `label`, `shard`."""
 
@@ -120,7 +169,9 @@ def score(df: DataFrame, at: np.ndarray, w: np.ndarray, keep: tuple[str, ...] =
 
 
 def toxicity_query(spark: SparkSession, folder: str) -> DataFrame:
-    model = train(labelled.training_rows(spark, folder, "toxic", FOLDS, HELD_OUT))
+    rows = labelled.training_rows(spark, folder, "toxic", FOLDS, HELD_OUT)
+    aside = labelled.fold("doc_id", FOLDS) == CALIBRATION
+    model = calibrated(rows.filter(aside), *train(rows.filter(~aside)))
     scored = score(documents(spark, folder), *model)
     held_out = F.coalesce(labelled.fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
     return scored.select(
