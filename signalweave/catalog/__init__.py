@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalweave.catalog import documents, incremental, large, learned, relational, series, streams, tagging, threads
+from signalweave.catalog import documents, files, incremental, large, learned, relational, series, streams, tagging, threads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (series, tagging, relational, threads, documents, large, learned, incremental, streams)
+_MODULES = (series, tagging, relational, threads, documents, large, learned, incremental, files, streams)
 
 
 def queries() -> dict[str, Query]:
