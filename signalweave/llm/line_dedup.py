@@ -35,6 +35,9 @@ FREQUENT = 10_000
 CROWDED = 16
 # Segments for these keys, beyond the number of edits.
 FINER = 10
+# Where more lines than CROWDED share even such a key, they are of one template.  What they differ in meets on its
+# deletion variants, if it has no more characters than this: in one stretch, or in each of two segments.
+STRETCH, SEGMENT = 48, 24
 
 LAST_ID = (1 << 63) - 1
 
@@ -122,8 +125,11 @@ def _patterns(edits: int, moves) -> list[tuple[int, int, list[tuple[int, int, in
     return found
 
 
-def _finer_keys(line: Column, length: Column, edits: int, patterns: list) -> Column:
-    """A key per pattern: the stretches of the line that another line has if it differs in the rest only."""
+def _finer_keys(line: Column, length: Column, edits: int, patterns: list, whole: bool = False) -> Column:
+    """A key per pattern: the stretches of the line that another line has if it differs in the rest only.
+
+    With `whole`, x and y are the strings left out, y being NULL where the two segments touch.
+    """
     parts = edits + FINER
 
     left_out = list(combinations(range(parts), edits))
@@ -163,24 +169,81 @@ def _finer_keys(line: Column, length: Column, edits: int, patterns: list) -> Col
         first = F.substring(line, begin(i), begin(i + 1) + moved - begin(i))
         last = F.substring(line, begin(j) + moved, begin(j + 1) + p["less"] - begin(j) - moved)
         apart = p["middle"] > 0
+        if whole:
+            both = F.substring(line, begin(i), begin(j + 1) + p["less"] - begin(i))
+            return _keyed(hashed, p["less"], F.when(apart, first).otherwise(both), F.when(apart, last))
         return _keyed(hashed, p["less"], F.when(apart, F.xxhash64(first)), F.when(apart, F.xxhash64(last)))
 
     return F.transform(table, key)
 
 
-def finer_index_keys(line: Column, length: Column, edits: int) -> Column:
+def finer_index_keys(line: Column, length: Column, edits: int, whole: bool = False) -> Column:
     patterns = _patterns(edits, lambda less, n: [0])
-    return _finer_keys(line, length, edits, [p for p in patterns if p[1] == 0])
+    return _finer_keys(line, length, edits, [p for p in patterns if p[1] == 0], whole)
 
 
-def finer_probe_keys(line: Column, length: Column, edits: int) -> Column:
+def finer_probe_keys(line: Column, length: Column, edits: int, whole: bool = False) -> Column:
     """As many keys as there are ways for a line as long as this, or shorter, to differ in `edits` segments."""
 
     def moves(less: int, n: int) -> list[int]:
         # n edits at most lie before the stretch, and edits - n after it.
         return [m for m in range(-n, n + 1) if abs(m) + abs(less - m) <= edits and abs(less - m) <= edits - n]
 
-    return _finer_keys(line, length, edits, _patterns(edits, moves))
+    return _finer_keys(line, length, edits, _patterns(edits, moves), whole)
+
+
+def _without(text: Column, at: Column) -> Column:
+    """A string without its character at a place counted from 1; 0 takes none."""
+    rest = F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + 1, F.char_length(text)))
+    return F.when(at > 0, rest).otherwise(text)
+
+
+def template_pairs(index: DataFrame, probe: DataFrame) -> DataFrame:
+    """`a`, `b` of lines that agree but for what their shared key leaves out, and are within two edits there.
+
+    `index` has `a`, `key`, `a_less`, `a_x`, `a_y`, `probe` the same of `b`; x and y are the strings left out, y NULL
+    where there is one stretch only.  Two strings within k edits have a common string that takes k deletions at most from
+    each.  Of one stretch both edits are taken, of two segments that both differ one each.  What all lines of a key have
+    in common at the start and the end of a string takes no part, so that the cost follows what differs.  A string that is
+    longer than STRETCH or SEGMENT then still meets all such strings of its key.
+    """
+    sides = [df.toDF("h", "key", "less", "x", "y").withColumn("filed", F.lit(df is index)) for df in (index, probe)]
+    rows = stored(sides[0].union(sides[1]), "line-templates")
+    back = rows.withColumns({"rx": F.reverse("x"), "ry": F.reverse("y")})
+    ends = [f(c).alias(f"{n}_{c}") for c in ("x", "y", "rx", "ry") for n, f in (("low", F.min), ("high", F.max))]
+    ends += [F.min(F.char_length(c)).alias(f"size_{c}") for c in ("x", "y")]
+    common = back.groupBy("key").agg(*ends)
+    for c in ("x", "y"):
+        size = F.coalesce(f"size_{c}", F.lit(0))
+        common = computed_once(common, **{f"p{c}": _same_start(f"low_{c}", f"high_{c}", size)})
+        common = computed_once(common, **{f"q{c}": _same_start(f"low_r{c}", f"high_r{c}", size - F.col(f"p{c}"))})
+    common = stored(common.select("key", "px", "qx", "py", "qy"), "line-common")
+
+    def inner(c: str) -> Column:
+        return F.substring(F.col(c), F.col(f"p{c}") + 1, F.char_length(c) - F.col(f"p{c}") - F.col(f"q{c}"))
+
+    middles = computed_once(rows.join(common, "key"), _x=inner("x"), _y=inner("y"))
+    m, n = F.char_length("_x"), F.char_length("_y")
+    places = F.sequence(F.lit(0), m)
+    twice = F.transform(
+        places, lambda i: F.transform(F.sequence(i, m), lambda j: F.xxhash64(_without(_without(F.col("_x"), j), i)))
+    )
+    each = F.transform(
+        places,
+        lambda i: F.transform(F.sequence(F.lit(0), n), lambda j: F.xxhash64(_without(F.col("_x"), i), _without(F.col("_y"), j))),
+    )
+    # Sizes differ by as many as there are edits: those near the limit meet in both ways.
+    one, none = F.col("y").isNull(), F.array().cast("array<bigint>")
+    short = F.when(one, F.when(m <= STRETCH + EDITS, F.flatten(twice))).otherwise(
+        F.when((m <= SEGMENT + 1) & (n <= SEGMENT + 1), F.flatten(each))
+    )
+    long = F.when(one, m > STRETCH).otherwise((m > SEGMENT) | (n > SEGMENT))
+    meets = F.array_distinct(F.concat(F.coalesce(short, none), F.when(long, F.array(F.lit(0).cast("bigint"))).otherwise(none)))
+    spread = stored(middles.select("h", "key", "less", "filed", F.explode(meets).alias("meet")).distinct(), "line-variants")
+    left = spread.filter("filed").select("key", "meet", F.col("h").alias("a"))
+    right = spread.filter("NOT filed").select("key", "meet", F.col("h").alias("b"), F.col("less").alias("b_less"))
+    met = left.join(right, ["key", "meet"]).filter("a != b AND (b_less > 0 OR a < b)")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def edit_distances(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
@@ -331,11 +394,24 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
     close = some.join(small(meet.filter("b IS NULL").select(F.col("a").alias("h"))), "h", "left_semi")
     close = stored(close.select("h", "line", "size").repartition("h").distinct(), "line-close")
     close = close.repartition("h")
-    finer = keyed(close, finer_index_keys(line, size, edits), "a").join(
-        keyed(close, finer_probe_keys(line, size, edits), "b"), "key"
-    )
+    filed, asked = (keyed(close, keys(line, size, edits), name) for keys, name in ((finer_index_keys, "a"), (finer_probe_keys, "b")))
     pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     differ = f"{other} AND (a_x IS NULL OR (a_x != b_x AND a_y != b_y))"
+    if edits == 2:
+        # Keys that many lines share are those of templates; there all pairs of a key would be too many.
+        templates = filed.groupBy("key").agg(F.count(F.lit(1)).alias("sharing")).filter(F.col("sharing") > CROWDED)
+        templates = small(stored(templates.select("key"), "line-crowded"))
+        filed = filed.join(templates, "key", "left_anti")
+
+        def left_out(keys: Column, name: str) -> DataFrame:
+            rows = close.select(F.col("h").alias(name), F.explode(keys).alias("k"))
+            rows = rows.select(name, "k.*").join(templates, "key", "left_semi")
+            return rows.select(name, "key", *[F.col(c).alias(f"{name}_{c}") for c in ("less", "x", "y")])
+
+        if not templates.isEmpty():
+            filed_out = left_out(finer_index_keys(line, size, edits, whole=True), "a")
+            pairs = pairs.union(template_pairs(filed_out, left_out(finer_probe_keys(line, size, edits, whole=True), "b")))
+    finer = filed.join(asked, "key")
     pairs = stored(pairs.union(finer.filter(differ).select(*pair)).distinct(), "line-pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "line-wanted")
     texts = some.join(small(wanted), "h", "left_semi").select("h", "g", "line").distinct()
