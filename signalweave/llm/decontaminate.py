@@ -1,11 +1,14 @@
-"""Benchmark decontamination: which documents contain which test items, found by prefix filtering.
+"""Benchmark decontamination: which documents contain which test items, by MinHash containment search.
 
 An item is contained in a document when at least a given share of its distinct word shingles occur
-there.  Items are partitioned by size.  The items of a partition keep a sketch of their
-rarest shingles, as many as the largest item of that partition could be missing and one more, so
-that a document that contains an item must hold at least one member of its sketch.  A document is
-never sketched: next to a long document, the signature of a short item would drown.  Candidates are
-verified by counting all shingles of the item in the document.
+there.  Items are partitioned by size.  The MinHash sketch of an item is its shingles of least hash
+(bottom-k); k belongs to the partition, one more than the largest item of it may lack.  A document that
+contains an item lacks so few of its shingles that a known number of the sketch must be there; where
+fewer are, the pair is no candidate.  A document is never sketched: next to a long document, the
+signature of a short item would drown; its shingles probe the sketches.  Shingles that more than COMMON
+items share enter a sketch last, whatever their hash, so that a phrase of many items and many documents
+does not make candidates of all of them.  Candidates are verified by counting all shingles of the item
+in the document.
 """
 
 from __future__ import annotations
@@ -17,13 +20,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signalweave.llm.frames import documents, slices, stored, utf8
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
+# A shingle of more items than this is the last to enter their sketches.
+COMMON = 16
 # Bits of the filter of all item shingles: its size is fixed, whatever the items are.
 FILTER_BITS = 24
 
@@ -89,21 +94,33 @@ def item_shingles(items: DataFrame, words: int = SHINGLE_WORDS, text: str = "tex
     return _mapped(items, "shingle binary, key long, n_shingles long", rows_of, "item_id", text)
 
 
-def sketches(shingles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The sketch of each item: its first shingles by rarity among the items, then by hash.
+def sketches(shingles: DataFrame, threshold: float = THRESHOLD, common: int | None = COMMON) -> DataFrame:
+    """`row`, `shingle`, `least`: the bottom-k MinHash sketch of each item, and how many of it a containing document holds.
 
-    A partition holds the items of 2^c to 2^(c+1)-1 shingles and has one sketch size, one more than
-    the shingles that its largest item may lack.
+    A partition holds the items of 2^c to 2^(c+1)-1 shingles and has one k, one more than the shingles
+    that its largest item may lack.  Shingles of more than `common` items come last; None: by hash alone.
     """
     shared = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("_shared"))
-    rank = F.row_number().over(
-        Window.partitionBy("row").orderBy("_shared", F.xxhash64("shingle"), "shingle")
-    )
+    late = F.lit(False) if common is None else F.col("_shared") > common
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(late, F.xxhash64("shingle"), "shingle"))
     partition = F.floor(F.log2(F.col("n_shingles")) + F.lit(1e-9))
     largest = F.pow(F.lit(2.0), partition + 1) - 1
-    size = largest - F.ceil(largest * threshold - F.lit(1e-9)) + 1
+
+    def lacking(n: Column) -> Column:
+        return n - F.ceil(n * threshold - F.lit(1e-9))
+
+    size = lacking(largest) + 1
     ranked = shingles.join(shared, "shingle").withColumn("_rank", rank)
-    return ranked.filter(F.col("_rank") <= size).select("row", "shingle")
+    # An item of n shingles may lack fewer than the largest one; the rest of its sketch must be met.
+    least = F.least(size, F.col("n_shingles")) - lacking(F.col("n_shingles"))
+    return ranked.filter(F.col("_rank") <= size).select("row", "shingle", least.cast("long").alias("least"))
+
+
+def candidates(hits: DataFrame, sketch: DataFrame) -> DataFrame:
+    """`row`, `item_row` of documents that hold as much of an item's sketch as a containing document must."""
+    probe = sketch.select(F.col("row").alias("item_row"), "shingle", "least")
+    met = hits.join(probe, "shingle").groupBy("row", "item_row").agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least"))
+    return met.filter("met >= least").select("row", "item_row")
 
 
 def shingle_filter(shingles: DataFrame) -> np.ndarray:
@@ -165,10 +182,9 @@ def contained_items(
     sizes = sorted(r["size"] for r in short.collect())
     hits = stored(document_shingles(df, shingle_filter(own), sizes, text), "contamination-hits")
     item = own.select(F.col("row").alias("item_row"), "item_id", "shingle", "n_shingles")
-    probe = sketch.select(F.col("row").alias("item_row"), "shingle")
-    candidates = hits.join(probe, "shingle").select("row", "item_row").distinct()
     shared = (
-        candidates.join(item, "item_row")
+        candidates(hits, sketch)
+        .join(item, "item_row")
         .join(hits, ["row", "shingle"])
         .groupBy("row", "item_row", "doc_id", "item_id", "n_shingles")
         .agg(F.count(F.lit(1)).alias("n_shared"))

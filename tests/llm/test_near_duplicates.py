@@ -332,3 +332,26 @@ def test_containment_equals_brute_force(spark, make, empty, clashing, monkeypatc
     none = frame.limit(0)
     assert decontaminate.contained_items(make(docs), none).count() == 0
     assert decontaminate.contained_items(empty, frame).count() == 0
+
+
+@pytest.mark.parametrize("common", [None, 0, 2, 16])
+def test_sketches_of_any_order_lose_no_item(make, spark, common):
+    """Also where a phrase stands in all items and documents, which then must not make candidates of all pairs."""
+    draw = random.Random(12)
+    words = [f"w{i}" for i in range(3000)]
+
+    def prose(n):
+        return [draw.choice(words) for _ in range(n)]
+
+    phrase = "which of the following answers is the right one here".split()
+    items = [(i, " ".join(phrase + prose(draw.randint(10, 40)))) for i in range(40)]
+    docs = [(i, " ".join(prose(50) + phrase + (items[i][1].split() if i < 40 else []) + prose(50))) for i in range(80)]
+    own = decontaminate.item_shingles(spark.createDataFrame(items, "item_id long, text string"))
+    hits = decontaminate.document_shingles(make(docs), decontaminate.shingle_filter(own), [5])
+    sketch = decontaminate.sketches(own, common=common)
+    found = decontaminate.candidates(hits, sketch)
+    ids = hits.select("row", "doc_id").distinct().join(found, "row").join(own.selectExpr("row AS item_row", "item_id").distinct(), "item_row")
+    pairs = {(r.doc_id, r.item_id) for r in ids.collect()}
+    assert pairs >= {(i, i) for i in range(40)}
+    if common == 16:
+        assert len(pairs) == 40
