@@ -38,6 +38,10 @@ FINER = 10
 # Where more lines than CROWDED share even such a key, they are of one template.  What they differ in meets on its
 # deletion variants, if it has no more characters than this: in one stretch, or in each of two segments.
 STRETCH, SEGMENT = 48, 24
+# Longer strings meet on their own segments.  Below this there is too little of a string to cut.
+LEAST_STRETCH = 14
+# Lines of one length meet twice, either being the one that probes; once is enough.
+OTHER = "a != b AND (b_less > 0 OR a < b)"
 
 LAST_ID = (1 << 63) - 1
 
@@ -204,8 +208,8 @@ def template_pairs(index: DataFrame, probe: DataFrame) -> DataFrame:
     `index` has `a`, `key`, `a_less`, `a_x`, `a_y`, `probe` the same of `b`; x and y are the strings left out, y NULL
     where there is one stretch only.  Two strings within k edits have a common string that takes k deletions at most from
     each.  Of one stretch both edits are taken, of two segments that both differ one each.  What all lines of a key have
-    in common at the start and the end of a string takes no part, so that the cost follows what differs.  A string that is
-    longer than STRETCH or SEGMENT then still meets all such strings of its key.
+    in common at the start and the end of a string takes no part, so that the cost follows what differs.  Strings that are
+    longer than STRETCH or SEGMENT would have too many variants; see `long_pairs`.
     """
     sides = [df.toDF("h", "key", "less", "x", "y").withColumn("filed", F.lit(df is index)) for df in (index, probe)]
     rows = stored(sides[0].union(sides[1]), "line-templates")
@@ -233,17 +237,62 @@ def template_pairs(index: DataFrame, probe: DataFrame) -> DataFrame:
         lambda i: F.transform(F.sequence(F.lit(0), n), lambda j: F.xxhash64(_without(F.col("_x"), i), _without(F.col("_y"), j))),
     )
     # Sizes differ by as many as there are edits: those near the limit meet in both ways.
+    stretch, segment = max(STRETCH, LEAST_STRETCH), max(SEGMENT, LEAST_STRETCH)
     one, none = F.col("y").isNull(), F.array().cast("array<bigint>")
-    short = F.when(one, F.when(m <= STRETCH + EDITS, F.flatten(twice))).otherwise(
-        F.when((m <= SEGMENT + 1) & (n <= SEGMENT + 1), F.flatten(each))
+    short = F.when(one, F.when(m <= stretch + EDITS, F.flatten(twice))).otherwise(
+        F.when((m <= segment + 1) & (n <= segment + 1), F.flatten(each))
     )
-    long = F.when(one, m > STRETCH).otherwise((m > SEGMENT) | (n > SEGMENT))
-    meets = F.array_distinct(F.concat(F.coalesce(short, none), F.when(long, F.array(F.lit(0).cast("bigint"))).otherwise(none)))
+    long = F.when(one, m > stretch).otherwise((m > segment) | (n > segment))
+    meets = F.array_distinct(F.coalesce(short, none))
     spread = stored(middles.select("h", "key", "less", "filed", F.explode(meets).alias("meet")).distinct(), "line-variants")
     left = spread.filter("filed").select("key", "meet", F.col("h").alias("a"))
     right = spread.filter("NOT filed").select("key", "meet", F.col("h").alias("b"), F.col("less").alias("b_less"))
-    met = left.join(right, ["key", "meet"]).filter("a != b AND (b_less > 0 OR a < b)")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    met = left.join(right, ["key", "meet"]).filter(OTHER)
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # No line has a line break in it, so that one may stand between the two strings.
+    joined = F.when(one, F.col("_x")).otherwise(F.concat_ws("\n", "_x", "_y"))
+    longer = middles.filter(long).select("h", F.col("key").alias("under"), "filed", joined.alias("line")).distinct()
+    longer = stored(longer.withColumn("size", F.char_length("line")), "line-long")
+    return pairs if longer.isEmpty() else pairs.union(long_pairs(longer))
+
+
+def long_pairs(rows: DataFrame) -> DataFrame:
+    """`a`, `b` of strings under one key that may be within two edits, by the segments of the strings themselves.
+
+    `rows` has `h`, `under`, `filed`, `line`, `size`.  Where more than CROWDED filed strings share a segment, finer keys of
+    the strings decide, and where these are crowded too, `template_pairs` of what they leave out.  That is a sixth of the
+    string, so that this ends; and no step makes all pairs of a key.
+    """
+    named = rows.select(F.struct("h", "under", "filed").alias("h"), "line", "size")
+    keys = segment_keys(named, EDITS).select(F.xxhash64("h.under", "key").alias("key"), "kind", "h.*")
+    keys = stored(keys.filter(f"NOT filed OR kind = {INDEX}").distinct(), "line-long-keys")
+    asked = keys.filter("NOT filed").select("key", F.col("h").alias("b"), F.greatest("kind", F.lit(0)).alias("b_less"))
+    shared = keys.filter("filed").groupBy("key").agg(F.count(F.lit(1)).alias("sharing"))
+    filed = keys.filter("filed").select("key", F.col("h").alias("a")).join(shared.filter(F.col("sharing") <= CROWDED), "key")
+    pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    pairs = filed.join(asked, "key").filter(OTHER).select(*pair)
+    busy = keys.join(shared.filter(F.col("sharing") > CROWDED), "key", "left_semi").select("h", "under", "filed").distinct()
+    busy = stored(rows.join(busy, ["h", "under", "filed"], "left_semi"), "line-long-crowded")
+    if busy.isEmpty():
+        return pairs
+
+    def finer(side: DataFrame, keys_of, name: str) -> DataFrame:
+        found = keys_of(F.col("line"), F.col("size"), EDITS, whole=True)
+        each = side.select(F.col("h").alias(name), "under", F.explode(found).alias("k")).select(name, "under", "k.*")
+        key = F.xxhash64("under", "key").alias("key")
+        return each.select(name, key, *[F.col(c).alias(f"{name}_{c}") for c in ("less", "x", "y")]).distinct()
+
+    index = stored(finer(busy.filter("filed"), finer_index_keys, "a"), "line-long-filed")
+    probe = finer(busy.filter("NOT filed"), finer_probe_keys, "b")
+    probe = stored(probe.join(index.select("key").distinct(), "key", "left_semi").select(probe.columns), "line-long-asked")
+    templates = index.groupBy("key").agg(F.count(F.lit(1)).alias("sharing")).filter(F.col("sharing") > CROWDED)
+    templates = stored(templates.select("key"), "line-long-templates")
+    differ = f"{OTHER} AND (a_y IS NULL OR (a_x != b_x AND a_y != b_y))"
+    pairs = pairs.union(index.join(templates, "key", "left_anti").join(probe, "key").filter(differ).select(*pair))
+    if templates.isEmpty():
+        return pairs
+    inside = (side.join(templates, "key", "left_semi").select(side.columns) for side in (index, probe))
+    return pairs.union(template_pairs(*inside))
 
 
 def edit_distances(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
@@ -382,10 +431,8 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
     # number of them, and the lines by themselves where many do.
     shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("sharing"))
     crowded, none = shared.filter(F.col("sharing") > CROWDED), F.lit(None).cast("long")
-    # Lines of one length meet twice, either being the one that probes; once is enough.
-    other = "a != b AND (b_less > 0 OR a < b)"
     meet = (
-        index.join(shared.filter(F.col("sharing") <= CROWDED), "key").join(probe, "key").filter(other).select("a", "b")
+        index.join(shared.filter(F.col("sharing") <= CROWDED), "key").join(probe, "key").filter(OTHER).select("a", "b")
         .union(index.join(crowded, "key", "left_semi").select("a", none))
         .union(probe.join(crowded, "key", "left_semi").select("b", none))
     )
@@ -396,7 +443,7 @@ def near_lines(df: DataFrame, table: DataFrame, total: int, edits: int, least: i
     close = close.repartition("h")
     filed, asked = (keyed(close, keys(line, size, edits), name) for keys, name in ((finer_index_keys, "a"), (finer_probe_keys, "b")))
     pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    differ = f"{other} AND (a_x IS NULL OR (a_x != b_x AND a_y != b_y))"
+    differ = f"{OTHER} AND (a_x IS NULL OR (a_x != b_x AND a_y != b_y))"
     if edits == 2:
         # Keys that many lines share are those of templates; there all pairs of a key would be too many.
         templates = filed.groupBy("key").agg(F.count(F.lit(1)).alias("sharing")).filter(F.col("sharing") > CROWDED)

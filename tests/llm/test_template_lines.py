@@ -7,6 +7,7 @@ import random
 import pytest
 
 from signalweave.llm import line_dedup
+from tests.llm import test_near_duplicates as plain
 from tests.llm.test_near_duplicates import plain_line_dedup
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
@@ -59,3 +60,50 @@ def test_near_lines_of_templates_are_found(make, monkeypatch, limits):
     rows = [(i, draw.choice(forms).format(draw.choice("abcd") * draw.randint(0, 3) + word(draw, 1), draw.randint(8, 1020))) for i in range(160)]
     got = line_dedup.without_repeated_lines(make(rows), edits=2, least=8).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(plain_line_dedup(rows, 2, 8), key=str)
+
+
+def text_around(draw, before, after):
+    return word(draw, before) + "{}" + word(draw, after)
+
+
+def test_long_strings_of_a_template_do_not_meet_in_all_pairs(make, monkeypatch):
+    """The lines differ in 60 characters that lie in two neighbouring segments."""
+    draw = random.Random(4)
+    form = text_around(draw, 198, 202)
+    for n in (300, 600):
+        assert compared(monkeypatch, make([(i, form.format(word(draw, 60))) for i in range(n)])) <= n
+        monkeypatch.undo()
+
+
+@pytest.mark.parametrize("limits", [(16, 48, 24), (3, 16, 14)])
+def test_near_lines_with_long_strings_are_found(make, monkeypatch, limits):
+    """Long strings that share nothing, that share a long middle, and that are apart in two segments."""
+    for name, value in zip(("CROWDED", "STRETCH", "SEGMENT"), limits):
+        monkeypatch.setattr(line_dedup, name, value)
+    whole = plain.distance
+
+    def distance(a, b):
+        """The edit distance, of which equal ends are no part."""
+        least = min(len(a), len(b))
+        start = next((i for i in range(least) if a[i] != b[i]), least)
+        end = next((i for i in range(least - start) if a[-1 - i] != b[-1 - i]), least - start)
+        return whole(a[start : len(a) - end], b[start : len(b) - end])
+
+    monkeypatch.setattr(plain, "distance", distance)
+    draw = random.Random(6)
+    one, two, three = text_around(draw, 198, 202), text_around(draw, 150, 150), text_around(draw, 60, 30)
+    middle, far = word(draw, 44), word(draw, 150)
+    lines = []
+    for i in range(20):
+        for line in (
+            one.format(word(draw, 60)), two.format(word(draw, 8) + middle + word(draw, 8)),
+            three.format(word(draw, 26) + far + word(draw, 26)),
+        ):
+            lines.append(line)
+            if i % 3 == 0:
+                lines += [plain.edited(draw, line, n, "ab") for n in (1, 2, 3)]
+    rows = list(enumerate(lines))
+    got = line_dedup.without_repeated_lines(make(rows), edits=2, least=8).collect()
+    expected = plain_line_dedup(rows, 2, 8)
+    assert sum(t == "" for _, t in expected) > 30
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(expected, key=str)
