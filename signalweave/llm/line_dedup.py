@@ -256,6 +256,14 @@ def template_pairs(index: DataFrame, probe: DataFrame) -> DataFrame:
     return pairs if longer.isEmpty() else pairs.union(long_pairs(longer))
 
 
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """The rows of `h`, `key`, `filed` whose key a filed string shares with one of another line that asks for it."""
+    live = keys.groupBy("key").agg(
+        F.min("h").alias("low"), F.max("h").alias("high"), F.max("filed").alias("some"), F.min("filed").alias("every")
+    )
+    return keys.join(live.filter("low != high AND some AND NOT every").select("key"), "key", "left_semi").select(keys.columns)
+
+
 def long_pairs(rows: DataFrame) -> DataFrame:
     """`a`, `b` of strings under one key that may be within two edits, by the segments of the strings themselves.
 
@@ -265,7 +273,7 @@ def long_pairs(rows: DataFrame) -> DataFrame:
     """
     named = rows.select(F.struct("h", "under", "filed").alias("h"), "line", "size")
     keys = segment_keys(named, EDITS).select(F.xxhash64("h.under", "key").alias("key"), "kind", "h.*")
-    keys = stored(keys.filter(f"NOT filed OR kind = {INDEX}").distinct(), "line-long-keys")
+    keys = stored(shared_keys(keys.filter(f"NOT filed OR kind = {INDEX}").distinct()), "line-long-keys")
     asked = keys.filter("NOT filed").select("key", F.col("h").alias("b"), F.greatest("kind", F.lit(0)).alias("b_less"))
     shared = keys.filter("filed").groupBy("key").agg(F.count(F.lit(1)).alias("sharing"))
     filed = keys.filter("filed").select("key", F.col("h").alias("a")).join(shared.filter(F.col("sharing") <= CROWDED), "key")
@@ -276,15 +284,16 @@ def long_pairs(rows: DataFrame) -> DataFrame:
     if busy.isEmpty():
         return pairs
 
-    def finer(side: DataFrame, keys_of, name: str) -> DataFrame:
-        found = keys_of(F.col("line"), F.col("size"), EDITS, whole=True)
-        each = side.select(F.col("h").alias(name), "under", F.explode(found).alias("k")).select(name, "under", "k.*")
-        key = F.xxhash64("under", "key").alias("key")
-        return each.select(name, key, *[F.col(c).alias(f"{name}_{c}") for c in ("less", "x", "y")]).distinct()
+    def finer(filed: bool) -> DataFrame:
+        found = (finer_index_keys if filed else finer_probe_keys)(F.col("line"), F.col("size"), EDITS, whole=True)
+        each = busy.filter(F.col("filed") == filed).select("h", "under", "filed", F.explode(found).alias("k"))
+        return each.select("h", F.xxhash64("under", "k.key").alias("key"), "filed", "k.less", "k.x", "k.y")
 
-    index = stored(finer(busy.filter("filed"), finer_index_keys, "a"), "line-long-filed")
-    probe = finer(busy.filter("NOT filed"), finer_probe_keys, "b")
-    probe = stored(probe.join(index.select("key").distinct(), "key", "left_semi").select(probe.columns), "line-long-asked")
+    both = stored(shared_keys(finer(True).union(finer(False)).distinct()), "line-long-finer")
+    index, probe = (
+        both.filter(F.col("filed") == F.lit(name == "a")).select(F.col("h").alias(name), "key", *[F.col(c).alias(f"{name}_{c}") for c in ("less", "x", "y")])
+        for name in ("a", "b")
+    )
     templates = index.groupBy("key").agg(F.count(F.lit(1)).alias("sharing")).filter(F.col("sharing") > CROWDED)
     templates = stored(templates.select("key"), "line-long-templates")
     differ = f"{OTHER} AND (a_y IS NULL OR (a_x != b_x AND a_y != b_y))"
