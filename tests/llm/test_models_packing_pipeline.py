@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tracemalloc
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -231,3 +231,29 @@ def test_pipeline_of_awkward_rows(spark, awkward, tmp_path):
         stage(spark, docs, SMALL).write.parquet(path)
         docs = spark.read.parquet(path)
     assert docs.count() == 0
+
+
+def test_each_stage_takes_awkward_rows(spark, awkward, empty, tmp_path):
+    """Every stage gets the awkward rows themselves, not what an earlier stage left of them."""
+    docs, rows = awkward
+    docs = docs.withColumn("n_chars", F.char_length("text"))
+    got = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SMALL).write.parquet(str(tmp_path / name))
+        got[name] = spark.read.parquet(str(tmp_path / name))
+        assert stage(spark, empty.withColumn("n_chars", F.char_length("text")), SMALL).count() == 0
+        if name != "packing":
+            assert got[name].columns == docs.columns
+    assert got["quality_rules"].count() == 0
+    lines = Counter((r.doc_id, r.text, r.n_chars) for r in got["line_dedup"].collect())
+    assert sum(lines.values()) == len(rows)
+    assert lines[2, None, None] == lines[3, "", 0] == lines[None, "a text without an id", 20] == 1
+    assert lines[1, rows[0][1], len(rows[0][1])] == lines[1, "", 0] == 1
+    near = Counter((r.doc_id, r.text) for r in got["simhash_near_dedup"].collect())
+    assert near[rows[0]] == near[rows[2]] == near[rows[3]] == 1
+    assert sum(n for (i, _), n in near.items() if i in (2, 3, 4)) == 1
+    clean = Counter((r.doc_id, r.text) for r in got["decontamination"].collect())
+    assert clean == Counter(rows)
+    pieces = got["packing"].groupBy("doc_id").agg(F.countDistinct("sequence_id").alias("n"), F.sum("length").alias("size")).collect()
+    assert {r.doc_id for r in pieces} == {i for i, _ in rows}
+    assert all(r["size"] == 1 for r in pieces if r.doc_id in (2, 3))
