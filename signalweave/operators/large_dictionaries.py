@@ -3,7 +3,7 @@
 `tagging.tag_countries` and the like write a dictionary into the plan as literal patterns, which suits
 sheets of hundreds of entries.  Here entries stay rows.  Every alias is filed under one of its grams, a
 word or two adjacent words: the one that is rarest in the texts.  Texts meet aliases by a join on
-grams, and only these pairs are verified by the alias's pattern, so that the cost follows the
+grams; what a gram does not say by itself is verified by the alias's pattern, so that the cost follows the
 texts and what occurs in them, not the number of entries.
 """
 
@@ -14,42 +14,61 @@ from pyspark.sql import functions as F
 
 from signalweave.functions.matching import as_column, no_strings
 from signalweave.functions.patterns import ANY_CASE, EXACT_CASE, PLURAL
-from signalweave.operators.once import computed_once
-from signalweave.session import cut_lineage
+from signalweave.operators.once import computed_once, explode_once
+from signalweave.session import cut_lineage, shared_folder
 
-WORD = r"(?U)\w+"
+WORD = r"(?U)[a-z0-9_\w]++"
+# At the start of every word but the last: the word, what parts it from the next one, and that one.
+PAIR = r"(?U)\b(?=([a-z0-9_\w]++\W++[a-z0-9_\w]++))[a-z0-9_\w]++"
 # Texts, at most, that the rarity of grams is estimated from; it decides what is fast, never what is found.
 RARITY_ROWS = 50_000
+# What upper case writes as several letters of A to Z.
+SEVERAL = "ẞßﬀﬁﬂﬃﬄﬅﬆ"
+CASELESS = "ƻ"
 
 
-def _words(text: Column) -> Column:
-    """The words of a text in a form that is equal wherever a search in any case takes letters for equal.
+def folded(text: Column) -> Column:
+    """A text in a form that is equal wherever a search in any case takes letters for equal.
 
-    Letters go to upper and then to lower case, since some have no lower-case form of their own.  The translation between the
-    two keeps Spark from taking one of them for superfluous.
+    Letters go to upper and then to lower case, since some have no lower-case form of their own.  What would become several
+    letters of a to z, which no search takes for equal, becomes a letter without case; so words of a to z are equal in this form only
+    where a search finds them.  The replacement between the two keeps Spark from taking one of them for superfluous.
     """
-    upper = F.translate(F.upper(F.translate(text, "İẞ", "iß")), "ẞ", "ß")
-    return F.regexp_extract_all(F.translate(F.lower(upper), "ς", "σ"), F.lit(WORD), F.lit(0))
+    plain = F.replace(text, F.lit("İ"), F.lit("i"))
+    for letter in SEVERAL:
+        plain = F.replace(plain, F.lit(letter), F.lit(CASELESS))
+    lowered = F.lower(F.replace(F.upper(plain), F.lit("ẞ"), F.lit(CASELESS)))
+    one_byte_each = F.octet_length(text) == F.char_length(text)
+    return F.when(one_byte_each, F.lower(text)).otherwise(F.replace(lowered, F.lit("ς"), F.lit("σ")))
 
 
-def _hashes(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+def _words(form: Column) -> Column:
+    return F.regexp_extract_all(form, F.lit(WORD), F.lit(0))
 
 
-def _pairs(hashes: Column) -> Column:
-    count = F.size(hashes) - 1
-    firsts = F.slice(hashes, 1, F.greatest(count, F.lit(0)))
-    seconds = F.slice(hashes, 2, F.greatest(count, F.lit(0)))
-    return F.zip_with(firsts, seconds, lambda a, b: F.xxhash64(a, b))
+def _pairs(form: Column) -> Column:
+    """Adjacent words as one gram each, with what parts them, which a search takes literally."""
+    return F.regexp_extract_all(form, F.lit(PAIR), F.lit(1))
 
 
-NO_WORD = 0
+NO_WORD = ""
 
 
-def text_grams(text: Column | str) -> Column:
-    """Distinct hashes of the words and adjacent words of a text, and the one that stands for no word."""
-    hashes = _hashes(_words(F.coalesce(as_column(text), F.lit(""))))
-    return F.array_distinct(F.concat(F.array(F.lit(NO_WORD).cast("long")), hashes, _pairs(hashes)))
+def text_grams(df: DataFrame, text: Column | str, *kept: Column | str) -> DataFrame:
+    """`kept` and `gram`: a row for each distinct word and pair of adjacent words of a text, and one that stands for no word.
+
+    Tokens are cut once for each text, and below any step that Spark would move before a shuffle that spreads the texts.
+    """
+    cut = computed_once(df.select(*kept, F.coalesce(as_column(text), F.lit("")).alias("_cut")), _form=folded(F.col("_cut")))
+    grams = F.concat(F.array(F.lit(NO_WORD)), _words(F.col("_form")), _pairs(F.col("_form")))
+    return explode_once(cut.drop("_cut"), "gram", F.array_distinct(grams)).drop("_form")
+
+
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Rows written once and read back, so that Spark knows how many bytes they have before it plans a join with them."""
+    target = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
 def _escaped(alias: Column) -> Column:
@@ -57,9 +76,10 @@ def _escaped(alias: Column) -> Column:
 
 
 def _aliases(dictionary: DataFrame, suffixes: tuple[str, ...]) -> DataFrame:
-    """`name`, `pattern` and `choices`: the grams of each alias, any of which may be its key.
+    """`name`, `pattern`, `cased`, `literal` and `choices`: the grams of each alias, any of which may be its key.
 
-    A choice is an array, since the last word of an alias may have a suffix in the text.
+    A choice is an array, since the last word of an alias may have a suffix in the text.  The pattern is NULL where the only
+    choice says all: one word, or two with a blank between, of a to z in any case.  `literal` is what the text, or its folded form, must contain.
     """
     cased = F.coalesce(F.col("cased"), F.lit(False)) if "cased" in dictionary.columns else F.lit(False)
     rows = dictionary.select(dictionary["name"].alias("name"), dictionary["alias"].alias("alias"), cased.alias("cased"))
@@ -67,37 +87,42 @@ def _aliases(dictionary: DataFrame, suffixes: tuple[str, ...]) -> DataFrame:
     ending = f"(?:{'|'.join(suffixes)})?" if suffixes else ""
     flags = F.when(F.col("cased"), EXACT_CASE).otherwise(ANY_CASE)
     pattern = F.concat(flags, F.lit(r"\b"), _escaped(F.col("alias")), F.lit(ending + r"\b"))
+    sure = ~F.col("cased") & F.col("name").isNotNull() & F.col("alias").rlike(r"\A[A-Za-z0-9_]+(?: [A-Za-z0-9_]+)?\z")
     # A word that ends the alias may go on with a suffix; one before a sign is whole in the text too.
     open_end = F.col("alias").rlike(r"(?U)\w\z")
-    rows = computed_once(rows, pattern=pattern, words=_words(F.col("alias")), open=open_end)
+    rows = computed_once(rows, pattern=F.when(~sure, pattern), form=folded(F.col("alias")), open=open_end)
+    rows = computed_once(rows, words=_words(F.col("form")), pairs=_pairs(F.col("form")))
     last = F.element_at("words", -1)
     forms = F.when(
         F.col("open") & (F.size("words") > 0), F.array(last, *[F.concat(last, F.lit(s)) for s in suffixes])
     ).otherwise(F.when(F.size("words") > 0, F.array(last)).otherwise(no_strings()))
-    hashes = _hashes(F.col("words"))
-    before = F.element_at(hashes, F.greatest(F.size("words") - 1, F.lit(1)))
-    inner = F.transform(_pairs(F.slice(hashes, 1, F.greatest(F.size("words") - 1, F.lit(0)))), lambda p: F.array(p))
-    final = F.transform(forms, lambda w: F.xxhash64(before, F.xxhash64(w)))
+    inner = F.transform(F.slice("pairs", 1, F.greatest(F.size("words") - 2, F.lit(0))), lambda p: F.array(p))
+    # The last pair with each form of its last word.
+    ahead = F.element_at("pairs", F.greatest(F.size("words") - 1, F.lit(1)))
+    final = F.transform(forms, lambda w: F.concat(ahead, F.substr(w, F.length(last) + 1)))
     choices = (
-        F.when(F.size("words") == 0, F.array(F.array(F.lit(NO_WORD).cast("long"))))
-        .when(F.size("words") == 1, F.array(_hashes(forms)))
+        F.when(F.size("words") == 0, F.array(F.array(F.lit(NO_WORD))))
+        .when(F.size("words") == 1, F.array(forms))
         .otherwise(F.concat(inner, F.array(final)))
     )
-    return rows.select("name", "pattern", choices.alias("choices"))
-
-
-def _keyed(aliases: DataFrame, texts: DataFrame) -> DataFrame:
-    """`gram`, `name`, `pattern`: each alias under the choice that the fewest of some texts have."""
-    total = texts.count()
-    some = texts if total <= RARITY_ROWS else texts.sample(RARITY_ROWS / total, seed=1)
-    counts = some.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    each = aliases.select("name", "pattern", F.posexplode("choices").alias("choice", "grams"))
+    literal = F.when(F.col("cased"), F.col("alias")).otherwise(F.col("form"))
+    return rows.select("name", "pattern", "cased", literal.alias("literal"), choices.alias("choices"))
+
+
+def _keyed(aliases: DataFrame, posts: DataFrame, text: Column) -> DataFrame:
+    """`gram`, `name`, `pattern`, `cased`, `literal`: each alias under the choice that the fewest of some texts have."""
+    # The choices of an alias are told apart from those of others by all that is known of it, `choices` too: a pattern may be NULL.
+    alias = ["name", "pattern", "cased", "literal", "choices"]
+    aliases = _stored(aliases, "aliases")
+    total = posts.count()
+    some = posts if total <= RARITY_ROWS else posts.sample(RARITY_ROWS / total, seed=1)
+    several = aliases.filter(F.size("choices") > 1).select(F.explode(F.flatten("choices")).alias("gram")).distinct()
+    counts = text_grams(some, text).join(several, "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    each = aliases.select(*alias, F.posexplode("choices").alias("choice", "grams"))
     rated = each.select("*", F.explode("grams").alias("gram")).join(counts, "gram", "left")
-    summed = rated.groupBy("name", "pattern", "choice").agg(
-        F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.first("grams").alias("grams")
-    )
-    best = summed.groupBy("name", "pattern").agg(F.min(F.struct("n", "choice", "grams")).alias("best"))
-    return best.select("name", "pattern", F.explode("best.grams").alias("gram"))
+    summed = rated.groupBy(*alias, "choice").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.first("grams").alias("grams"))
+    best = summed.groupBy(*alias).agg(F.min(F.struct("n", "choice", "grams")).alias("best"))
+    return _stored(best.select(*alias[:-1], F.explode("best.grams").alias("gram")), "keyed")
 
 
 def tag_by_dictionary(
@@ -111,21 +136,33 @@ def tag_by_dictionary(
 
     `dictionary` has `name`, `alias` and, if letter case counts for some, `cased`.  Names and aliases may
     repeat; NULL and blank aliases match nothing, nor does any alias match a NULL text.  Texts are told apart
-    by a hash; two texts of one hash would only share what is to be verified.
+    by their SHA-256.  An alias of one or two plain words in any case is found by its gram alone; others are verified.
     """
-    if {"_t", "_found"} & set(posts.columns):
-        raise ValueError("the columns _t and _found are used inside")
+    if {"_t", "_form", "_sure", "_found"} & set(posts.columns):
+        raise ValueError("the columns _t, _form, _sure and _found are used inside")
     suffixes = PLURAL if plural else ()
     own = posts[text]
-    texts = posts.select(F.xxhash64(own).alias("_t"), text_grams(own).alias("grams"))
-    keyed = _keyed(_aliases(dictionary, suffixes), texts)
-    grams = texts.select("_t", F.explode("grams").alias("gram"))
+    digest = F.unhex(F.sha2(own, 256))
+    keyed = _keyed(_aliases(dictionary, suffixes), posts, own)
+    grams = text_grams(posts.filter(own.isNotNull()), own, digest.alias("_t"))
+    verify = F.col("pattern").isNotNull()
     # Copies of a text give one row per candidate and task before they travel.
-    candidates = grams.join(keyed, "gram").groupBy("_t").agg(F.collect_set(F.struct("name", "pattern")).alias("_found"))
-    joined = posts.withColumn("_t", F.xxhash64(own)).join(candidates, "_t", "left")
-    hits = F.filter("_found", lambda c: F.rlike(own, c["pattern"]))
-    names = F.array_sort(F.array_distinct(F.transform(hits, lambda c: c["name"])))
-    return joined.withColumn(column, F.coalesce(names, no_strings())).drop("_t", "_found")
+    candidates = grams.join(keyed, "gram").groupBy("_t").agg(
+        F.collect_set(F.when(~verify, F.col("name"))).alias("_sure"),
+        F.collect_set(F.when(verify, F.struct("name", "pattern", "cased", "literal"))).alias("_found"),
+    )
+    joined = posts.withColumn("_t", digest).join(candidates, "_t", "left")
+    any_case = F.exists("_found", lambda c: ~c["cased"])
+    joined = joined.withColumn("_form", F.explode(F.array(F.when(any_case, folded(own)))))
+
+    def met(c: Column) -> Column:
+        return F.contains(F.when(c["cased"], own).otherwise(F.col("_form")), c["literal"]) & F.rlike(own, c["pattern"])
+
+    open_ = F.filter("_found", lambda c: ~F.coalesce(F.array_contains("_sure", c["name"]), F.lit(False)))
+    names = F.array_distinct(F.concat("_sure", F.transform(F.filter(open_, met), lambda c: c["name"])))
+    # By a generator, so that a caller's filter on the names does not search a second time.
+    found = F.explode(F.array(F.coalesce(F.array_sort(names), no_strings())))
+    return joined.withColumn(column, found).drop("_t", "_form", "_sure", "_found")
 
 
 def percolate(posts: DataFrame, queries: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from signalweave.functions.matching import group_tags
 from signalweave.functions.predicates import term
-from signalweave.operators.large_dictionaries import percolate, tag_by_dictionary
+from signalweave.operators.large_dictionaries import folded, percolate, tag_by_dictionary
 
 GROUPS = {
     "tax": ["carbon tax", "levy", "tax on tax"],
@@ -84,3 +84,23 @@ def test_stored_queries_equal_conditions(spark):
             test = test & ~term("text", word)
         wanted |= {(r["id"], number) for r in posts.filter(test).collect()}
     assert got == sorted(wanted)
+
+
+def test_keys_of_a_small_dictionary_go_to_the_texts(spark):
+    """The grams of all texts neither travel nor are sorted before they meet the keys; plain aliases need no pattern."""
+    texts = spark.createDataFrame([(1, "a carbon tax"), (2, "levies")], "id INT, text STRING")
+    entries = spark.createDataFrame([("a", "carbon tax"), ("b", "levy"), ("c", "c++")], "name STRING, alias STRING")
+    plan = tag_by_dictionary(texts, entries)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [gram" in plan and "SortMergeJoin [gram" not in plan
+
+
+def test_words_of_a_to_z_are_equal_in_folded_form_only_where_a_search_finds_them(spark):
+    letter = F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')")
+    letters = spark.range(1, 0x10000).filter("id < 55296 OR id > 57343").select(letter.alias("c"))
+    forms = letters.select("c", folded(F.col("c")).alias("form")).filter(F.col("form").rlike(r"\A[a-z0-9_]+\z"))
+    assert forms.filter("c = 'ſ' OR c = 'İ'").count() == 2
+    assert forms.filter(~F.rlike("c", F.concat(F.lit(r"(?iuU)\A"), "form", F.lit(r"\z")))).collect() == []
+    rows = spark.createDataFrame([(1, "straße ﬁne STRAẞE oﬀ"), (2, "ſtrasse FINE"), (3, "fine,strasse off  tax"), (4, "off tax,off\ntaxes")], "id INT, text STRING")
+    entries = spark.createDataFrame([(a, a) for a in ("strasse", "fine", "off", "off tax", "fine strasse")], "name STRING, alias STRING")
+    got = {r["id"]: r["tags"] for r in tag_by_dictionary(rows, entries).collect()}
+    assert got == {1: [], 2: ["fine", "strasse"], 3: ["fine", "off", "strasse"], 4: ["off", "off tax"]}
