@@ -189,7 +189,7 @@ def percolate(posts: DataFrame, queries: DataFrame, key: str, text: str = "text"
     rarest = rated.groupBy("query_id", "clauses", "excluded").agg(F.min(F.struct("n", "place", "clause")).alias("best"))
     # A clause that no post meets leaves its query out here.
     waiting = rarest.filter("best.n > 0").select("query_id", "clauses", "excluded", F.array_distinct("best.clause").alias("best"))
-    waiting = waiting.select("*", F.explode("best").alias("phrase"))
+    waiting = _stored(waiting.select("*", F.explode("best").alias("phrase")), "waiting")
 
     def occurs(list_: Column) -> Column:
         return F.coalesce(F.arrays_overlap(F.array_compact(list_), F.col("_has")), F.lit(False))
