@@ -12,7 +12,7 @@ from signalweave.operators.enrich import keep_members, negative_label, union_all
 from signalweave.operators.rules import add_policies
 from signalweave.operators.series import counts_with_share
 from signalweave.plans.policies import write_policy_series
-from signalweave.session import shared_folder
+from signalweave.session import shared_folder, tasks_for_rows
 from signalweave.sources import dictionaries, readers, writers
 
 SCORED = "id BIGINT, created_at STRING, category STRING, label INT, price DOUBLE"
@@ -57,17 +57,22 @@ def csv_recursive(spark: SparkSession, folder: str) -> DataFrame:
 
 def _pages(spark: SparkSession, folder: str) -> str:
     """Orders landed as result pages, a hundred ids at most to a page, and a page without results per customer that has none."""
-    orders = table(spark, folder, "orders").filter("o_custkey IS NOT NULL")
+    columns = ("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    orders = table(spark, folder, "orders").filter("o_custkey IS NOT NULL").select(*columns)
+    customers = table(spark, folder, "customer").select("c_custkey")
+    tasks = tasks_for_rows(orders)
     post = F.struct(
         F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("text"),
         F.col("o_custkey").cast("string").alias("author_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("created_at"),
         F.struct((F.col("o_orderkey") % 7).alias("like_count")).alias("public_metrics"),
     )
-    page = F.floor(F.col("o_orderkey") / 100).alias("page")
-    full = orders.groupBy("o_custkey", page).agg(F.collect_list(post).alias("data"))
+    # Dealt before they are gathered: pages hold few orders, so that gathering first shortens nothing and keeps a split's rows in memory.
+    dealt = orders.withColumn("page", F.floor(F.col("o_orderkey") / 100)).repartition(tasks, "o_custkey", "page")
+    full = dealt.groupBy("o_custkey", "page").agg(F.collect_list(post).alias("data"))
     token = F.md5(F.concat_ws("-", "o_custkey", "page"))
     full = full.select("data", F.struct(F.size("data").alias("result_count"), token.alias("next_token")).alias("meta"))
-    idle = table(spark, folder, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+    active = orders.select("o_custkey").repartition(tasks, "o_custkey").distinct()
+    idle = customers.repartition(tasks, "c_custkey").join(active, F.col("c_custkey") == F.col("o_custkey"), "left_anti")
     none = idle.select(F.struct(F.lit(0).alias("result_count"), F.lit(None).cast("string").alias("next_token")).alias("meta"))
     target = shared_folder(spark, "pages")
     union_all([full, none]).write.json(target)

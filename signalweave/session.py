@@ -19,6 +19,9 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Rows that a task sorts or gathers in memory at a time: a few hundred bytes each.
+ROWS_A_TASK = 400_000
+
 
 def build_session(
     app: str = "signalweave", master: str | None = None, **conf: str
@@ -57,6 +60,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tasks_for_rows(df: DataFrame, rows: int | None = None) -> int:
+    """As many partitions as give each about `rows` rows at most, and one per core at least.
+
+    For steps that sort or gather narrow rows: the number of shuffle partitions is a setting and does not follow the input, and
+    adaptive execution joins them by compressed bytes, of which keys in rows have few.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // (rows or ROWS_A_TASK)))
+
+
 def spread_rows(df: DataFrame, key: str) -> DataFrame:
     """Deal the rows of a small input out to all cores before costly work on each row.
 

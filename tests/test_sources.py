@@ -7,6 +7,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from signalweave import session
+from signalweave.catalog import files
 from signalweave.sources import dictionaries as D
 from signalweave.sources import readers as R
 from signalweave.sources import schemas as S
@@ -119,3 +121,16 @@ def test_failed_ids(spark):
     requested = spark.createDataFrame([("1",), ("2",), ("2",), ("3",)], "id STRING")
     result = spark.createDataFrame([("1",), ("1",)], "id STRING")
     assert sorted(r.id for r in W.without_result(requested, result).collect()) == ["2", "3"]
+
+
+def test_pages_are_gathered_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """The rows of a task do not follow the number of shuffle partitions, and rows without a customer stay out."""
+    monkeypatch.setattr(session, "ROWS_A_TASK", 100)
+    order = ("id AS o_orderkey", "IF(id % 10 = 9, NULL, id % 37) AS o_custkey", "'p' AS o_orderpriority", "DATE'2020-01-01' AS o_orderdate")
+    spark.range(3000).selectExpr(*order).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(40).selectExpr("IF(id = 39, NULL, id) AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    pages = spark.read.json(files._pages(spark, str(tmp_path))).select("*", F.input_file_name().alias("file"))
+    rows = pages.groupBy("file").agg(F.sum("meta.result_count").alias("n")).collect()
+    assert sum(r["n"] for r in rows) == 2700 and max(r["n"] for r in rows) <= 300
+    assert pages.filter("meta.result_count = 0").count() == 3
+    assert files.announced_results(spark, str(tmp_path)).collect()[0][0] == 2700
